@@ -47,7 +47,7 @@ def fill_dates(articles: DataFrame) -> DataFrame:
 
 def with_valid_date(articles: DataFrame) -> DataFrame:
     """Add ``date_d``, a real date; impossible or free-text dates give NULL."""
-    return articles.withColumn("date_d", F.try_to_date("date", F.lit("yyyy-MM-dd")))
+    return articles.withColumn("date_d", F.try_to_date("date", "yyyy-MM-dd"))
 
 
 def keep_sections(articles: DataFrame, *sections: str) -> DataFrame:

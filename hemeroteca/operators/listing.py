@@ -54,28 +54,35 @@ def article_links(
     )
 
 
-def _candidates(outlines: DataFrame, keys: list[str], url: Column, keep: Column, facts) -> DataFrame:
+def _candidates(
+    outlines: DataFrame, keys: list[str], url: Column, keep: Column, facts, first_of_url: str | None = None
+) -> DataFrame:
     """Rows for the links ``keep`` accepts, each with the facts of its container.
 
-    ``url`` and ``keep`` are functions of a node and of a URL.  Facts are worked out
-    once per distinct container, not once per link, so a page that hangs all its links
-    in one big element is walked once.
+    ``url`` and ``keep`` are functions of a node and of a URL.  ``first_of_url`` leaves
+    one link per URL and page: the first of ``any`` links, or of those ``contained`` in
+    an enclosing element.  Facts are worked out once per distinct container, not once
+    per link, so a page that hangs all its links in one big element is walked once.
     """
-    step = outlines.select(
-        *keys,
-        "texts",
-        "nodes",
-        F.filter(
-            F.transform(
-                F.filter("nodes", lambda n: (n["tag"] == "a") & n["href"].isNotNull()),
-                lambda n: F.struct(
-                    n["pos"].alias("pos"), url(n["href"]).alias("url"), n["t0"].alias("t0"),
-                    n["t1"].alias("t1"), n["ctr"].alias("ctr"),
-                ),
+    links = F.filter(
+        F.transform(
+            F.filter("nodes", lambda n: (n["tag"] == "a") & n["href"].isNotNull()),
+            # The field order makes array_sort sort by URL, then position.
+            lambda n: F.struct(
+                url(n["href"]).alias("url"), n["pos"].alias("pos"), n["t0"].alias("t0"),
+                n["t1"].alias("t1"), n["ctr"].alias("ctr"),
             ),
-            lambda c: keep(c["url"]),
-        ).alias("links"),
-    ).where(F.size("links") > 0)
+        ),
+        lambda c: keep(c["url"]) & ((c["ctr"] >= 0) if first_of_url == "contained" else F.lit(True)),
+    )
+    step = outlines.select(*keys, "texts", "nodes", links.alias("links")).where(F.size("links") > 0)
+    if first_of_url is not None:
+        # All links of a page sit in one row, so this needs no shuffle.
+        step = step.withColumn("links", F.array_sort("links"))
+        step = step.withColumn(
+            "links",
+            F.filter("links", lambda c, i: (i == 0) | (c["url"] != F.get(F.col("links"), i - 1)["url"])),
+        )
     step = step.withColumn(
         "ctrs", F.array_distinct(F.transform(F.filter("links", lambda c: c["ctr"] >= 0), lambda c: c["ctr"]))
     )
@@ -148,11 +155,10 @@ def listing_rows(
         lambda href: urls.absolute_any(href, site),
         lambda url: urls.is_site_article(url, site, sections),
         _card_facts,
+        first_of_url="contained" if first_link_decides else None,
     ).where("ctr is not null")
     if seen is not None:
         rows = resume_backlog(rows, seen)
-    if first_link_decides:
-        rows = first_link_per_page(rows, page)
     rows = rows.select(
         _title(F.col("ctr.heading"), F.col("link_text")).alias("title"),
         "url",
@@ -166,12 +172,6 @@ def listing_rows(
     return first_seen(rows)
 
 
-def first_link_per_page(rows: DataFrame, page: str = "page") -> DataFrame:
-    """The first row of each (page, url)."""
-    keyed = rows.withColumn("_page_url", F.struct(page, "url"))
-    return first_seen(keyed, "_page_url", ("pos",)).drop("_page_url")
-
-
 def section_listing_rows(outlines: DataFrame, page: str = "page", site: str = fv.SITE) -> DataFrame:
     """Listing rows of the section form: first link wins, no title test, date from the URL."""
     rows = _candidates(
@@ -180,6 +180,7 @@ def section_listing_rows(outlines: DataFrame, page: str = "page", site: str = fv
         lambda href: urls.absolute_rooted(href, site),
         lambda url: F.coalesce(urls.is_core_article(url), F.lit(False)),
         _short_card_facts,
+        first_of_url="any",
     )
     heading, text = F.col("ctr.heading"), F.col("link_text")
     rows = rows.select(
@@ -213,7 +214,9 @@ def cut_at_empty_page(rows: DataFrame, pages: DataFrame, page: str = "page") ->
 
     Hand in a stored listing: it is read twice, once for the cut.
     """
-    barren = pages.select(F.col(page).cast("int").alias("page")).join(rows.select("page"), "page", "left_anti")
+    barren = pages.select(F.col(page).cast("int").alias("page")).join(
+        rows.select("page").distinct(), "page", "left_anti"
+    )
     first_barren = barren.agg(F.min("page")).scalar()
     return rows.where((F.col("page") < first_barren) | first_barren.isNull())
 

@@ -1,0 +1,102 @@
+"""The reference workflows end to end: harvest, re-extract, clean and report."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from hemeroteca.functions import fixed_values as fv
+from hemeroteca.operators import article, cleaning, dedupe, listing, quality
+from hemeroteca.operators.outline import outline
+from hemeroteca.sources.writers import materialise
+
+#: A URL set up to this many bytes is sent to every executor; a larger one is shuffled.
+SMALL_URL_SET = 64 * 1024 * 1024
+
+
+def harvest_listing(
+    search_pages: DataFrame,
+    search_query: str,
+    resume_from: DataFrame | None = None,
+    max_pages: int | None = None,
+    scraped_at: Column | None = None,
+    **options,
+) -> DataFrame:
+    """Stage 1: search pages to listing rows, earlier rows first and never repeated.
+
+    ``resume_from`` holds the rows of an earlier run; pages up to its last one are
+    skipped and its URLs are not listed again.
+    """
+    pages = search_pages
+    if max_pages is not None:
+        pages = pages.where(F.col("page") <= max_pages)
+    if resume_from is None:
+        return listing.listing_rows(outline(pages), search_query, scraped_at=scraped_at, **options)
+    last_page = resume_from.agg(F.coalesce(F.max("page"), F.lit(0))).scalar()
+    rows = listing.listing_rows(
+        outline(pages.where(F.col("page") > last_page)),
+        search_query,
+        scraped_at=scraped_at,
+        seen=resume_from,
+        **options,
+    )
+    return dedupe.append_rows(resume_from, rows)
+
+
+def extract_listed(listed: DataFrame, pages: DataFrame, extract) -> DataFrame:
+    """Extract the pages whose URL is listed, without ever shuffling their HTML.
+
+    A URL set of proven small size is broadcast, so HTML is filtered where it lies.
+    Beyond that size every page is extracted in place and the far smaller records
+    are joined with the URLs.  The set is stored first: it is measured, then used.
+    """
+    urls = materialise(listed.select("url").distinct(), "urls")
+    size = urls.agg(F.sum(F.octet_length("url") + 16)).first()[0] or 0
+    pages = pages.select("url", "html")
+    if size <= SMALL_URL_SET:
+        return extract(outline(pages.join(F.broadcast(urls), "url", "left_semi")))
+    return extract(outline(pages)).join(urls, "url", "left_semi")
+
+
+def harvest_articles(
+    listed: DataFrame, pages: DataFrame, done: DataFrame | None = None, scraped_at: Column | None = None
+) -> DataFrame:
+    """Stage 2, first form: articles for listed URLs that are not finished yet."""
+    backlog = listed if done is None else dedupe.resume_backlog(listed, done)
+    return extract_listed(backlog, pages, lambda o: article.article_v1(o, scraped_at))
+
+
+def reextract(
+    listed: DataFrame, pages: DataFrame, done: DataFrame | None = None, scraped_at: Column | None = None
+) -> DataFrame:
+    """Re-extraction form: fresh bodies for listed URLs that are not finished yet."""
+    backlog = listed if done is None else dedupe.resume_backlog(listed, done)
+    return extract_listed(backlog, pages, lambda o: article.article_v2(o, scraped_at))
+
+
+def harvest_enriched(
+    search_pages: DataFrame,
+    pages: DataFrame,
+    target: int | None = fv.TARGET_ARTICLES,
+    scraped_at: Column | None = None,
+) -> DataFrame:
+    """Both stages, third form: section listing, extraction, and the listing's own fields."""
+    rows = listing.section_listing_rows(outline(search_pages))
+    if target is not None:
+        rows = listing.take_target(rows, target)
+    rows = materialise(rows, "listing")
+    extracted = extract_listed(rows, pages, lambda o: article.article_v3(o, scraped_at))
+    return article.with_body(article.enrich(rows, extracted))
+
+
+def clean_and_report(articles: DataFrame, *sections: str, profile: str = "final") -> dict[str, DataFrame]:
+    """Filter by section, clean once, store, and count over what was stored."""
+    cleaned = materialise(
+        cleaning.clean_articles(cleaning.keep_sections(articles, *sections), profile), "cleaned"
+    )
+    keyed = cleaning.with_section(cleaned)
+    return {
+        "articles": cleaned,
+        "sections": quality.histogram(keyed, F.col("section_key"), "section"),
+        "years": quality.year_histogram(cleaned),
+    }

@@ -34,16 +34,26 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_json_folder(
     spark: SparkSession, folder: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """Every ``*.json`` of a folder except checkpoints; without a schema, the sorted union of keys.
+    """Every JSON file or JSON table of a folder whose name does not speak of a checkpoint.
 
-    Name a schema for big folders: inferring one reads everything once more.
+    Without a schema the columns are the sorted union of keys; name one for big
+    folders, since inferring reads everything once more.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json").option("multiLine", multi_line)
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
-    # Checkpoint files are left out of the listing itself where the name says so.
-    rows = reader.json(folder)
-    return rows.where(~F.contains(F.col("_metadata.file_name"), F.lit("checkpoint")))
+    # Chosen by name before reading, so checkpoints are not even opened.
+    names = [n for n in _children(spark, folder) if n.endswith(".json") and "checkpoint" not in n]
+    if not names:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    return reader.json([f"{folder.rstrip('/')}/{n}" for n in names])
+
+
+def _children(spark: SparkSession, folder: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
