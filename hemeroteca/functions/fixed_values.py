@@ -44,6 +44,12 @@ WS_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
+# The same without the plain blank.
+WS_NOT_BLANK = (
+    r"[\t-\r\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+
 # Characters that count as a digit: decimal digits plus raised, lowered and circled ones.
 DIGIT = r"[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}]"
 
@@ -85,9 +91,10 @@ GLUE_RULES = {
 }
 
 # --- glued-word suspects -----------------------------------------------------
-WORD = r"[\p{L}\p{N}_]+"
-LONG_WORD = r"^[a-záéíóúñ]{20,}$"
-CAMEL_WORD = r"[a-záéíóúñ]+[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+"
+# A whole word of 20 or more plain letters, and a capital between lower-case runs.
+# Both can only start where a run starts, which the look-behind says at once.
+LONG_WORD = r"(?<![\p{L}\p{N}_])[a-záéíóúñ]{20,}+(?![\p{L}\p{N}_])"
+CAMEL_WORD = r"(?<![a-záéíóúñ])[a-záéíóúñ]++[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+"
 
 # --- mojibake tables: (damaged, replacement), applied in this order ----------
 MOJIBAKE = {

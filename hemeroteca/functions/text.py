@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 from functools import reduce
 
 import pandas as pd
@@ -12,8 +13,8 @@ from pyspark.sql.types import StringType
 
 from hemeroteca.functions import fixed_values as fv
 
-# Replacement that puts a mis-decoded character back, generated from the rule that
-# made the damage: its UTF-8 bytes were read as Windows-1252.
+# The table that puts mis-decoded characters back, generated from the rule that made
+# the damage: their UTF-8 bytes were read as Windows-1252.
 _PUNCTUATION = "‘’“”–—…•€™«»"
 
 
@@ -28,12 +29,25 @@ def _misread(char: str) -> str:
 REPAIR_TABLE: dict[str, str] = {
     _misread(c): c for c in [chr(n) for n in range(0xA0, 0x100)] + list(_PUNCTUATION)
 }
-_REPAIR_PATTERN = "|".join(sorted(REPAIR_TABLE, key=len, reverse=True))
+
+
+def _any_char(chars) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in sorted(set(chars))) + "]"
+
+
+def _shape(length: int) -> str:
+    """One character class per position: a single look per character, however long the table."""
+    keys = [k for k in REPAIR_TABLE if len(k) == length]
+    return "".join(_any_char(k[i] for k in keys) for i in range(length))
+
+
+_REPAIR_PATTERN = f"{_shape(3)}|{_shape(2)}"
 
 
 def squeeze(col: Column) -> Column:
     """Collapse every white-space run to one blank and strip the ends."""
-    return F.trim(F.regexp_replace(col, fv.WS_CLASS + "+", " "))
+    # A lone blank is left alone: it is most of the white space there is.
+    return F.trim(F.regexp_replace(col, f"{fv.WS_CLASS}{{2,}}|{fv.WS_NOT_BLANK}", " "))
 
 
 def is_blank(col: Column) -> Column:
@@ -71,7 +85,7 @@ def _repair_once(col: Column) -> Column:
             pieces,
             hits,
             lambda piece, hit: F.concat(
-                piece, F.when(hit.isNull(), F.lit("")).otherwise(F.try_element_at(known, hit))
+                piece, F.coalesce(F.try_element_at(known, hit), hit, F.lit(""))
             ),
         ),
         "",
@@ -122,35 +136,58 @@ def decode_and_compose(col: Column) -> Column:
     return _only_where(_unescape_nfc, col, _has_entity(col) | _may_denormalise(col))
 
 
+def _from_run_start(pattern: str) -> str:
+    """Let a rule that opens with a run of letters or digits start at the run's first one only.
+
+    It cannot match from further inside a run unless it matches from the start, and
+    what it leaves of a run cannot match again, so results stay the same.  But a run
+    that does not match is then given up after one try instead of one per character.
+    """
+    run = re.match(r"\((\[[^\]]+\]|\\p\{Nd\})(\{\d,\}|\+)\)", pattern)
+    return f"(?<!{run.group(1)}){pattern}" if run else pattern
+
+
 def unglue(col: Column, rules: str = "final") -> Column:
     """Separate glued words with one of the rule sets, then squeeze.
 
     The aggressive set lacks the two rules for a short word before a capital:
     its first rule has already split every such place, so they cannot match.
     """
-    split = reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), fv.GLUE_RULES[rules], col)
+    split = reduce(
+        lambda c, rule: F.regexp_replace(c, _from_run_start(rule[0]), rule[1]), fv.GLUE_RULES[rules], col
+    )
     return squeeze(split)
 
 
+#: What each cleaning profile is made of: mojibake table, NFC and squeezing, glue rules.
+PROFILES = {
+    "final": ("B", True, "final"),
+    "conservative": ("A", False, "conservative"),
+    "repair": ("repair", True, "final"),
+}
+
+
+def decode_step(col: Column, profile: str = "final") -> Column:
+    """The entity half of a profile's encoding repair."""
+    normalise = PROFILES[profile][1]
+    return squeeze(decode_and_compose(col)) if normalise else decode_entities(col)
+
+
 def fix_encoding(col: Column, profile: str = "final") -> Column:
     """The encoding half of a cleaning profile."""
-    if profile == "conservative":
-        return decode_entities(fix_mojibake(col, "A"))
-    table = "repair" if profile == "repair" else "B"
-    return squeeze(decode_and_compose(fix_mojibake(col, table)))
+    return decode_step(fix_mojibake(col, PROFILES[profile][0]), profile)
 
 
 def clean(col: Column, profile: str = "final") -> Column:
-    """A whole cleaning profile: ``final``, ``conservative`` or ``repair``."""
-    rules = "conservative" if profile == "conservative" else "final"
-    return unglue(fix_encoding(col, profile), rules)
+    """A whole cleaning profile for one column; ``clean_articles`` does the same for
+    records, in stages that each run once."""
+    return unglue(fix_encoding(col, profile), PROFILES[profile][2])
 
 
 def glued_suspects(col: Column) -> Column:
     """Words that look glued: very long ones first, then lower-UPPER-lower ones."""
-    words = F.regexp_extract_all(F.lower(col), F.lit(fv.WORD), F.lit(0))
     return F.concat(
-        F.filter(words, lambda w: w.rlike(fv.LONG_WORD)),
+        F.regexp_extract_all(F.lower(col), F.lit(fv.LONG_WORD), F.lit(0)),
         F.regexp_extract_all(col, F.lit(fv.CAMEL_WORD), F.lit(0)),
     )
 

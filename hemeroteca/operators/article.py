@@ -82,13 +82,13 @@ def article_v1(outlines: DataFrame, scraped_at: Column | None = None, keep: tupl
         lambda p: (F.length(p["text"]) > fv.MIN_PARAGRAPH_V1)
         & (F.col("container").isNull() | ol.inside(p, F.col("container"))),
     )
-    return named.select(
+    return _with_body_of(named, _texts_of(chosen)).select(
         *keep,
         "url",
         F.coalesce(ol.inner_text(F.col("h1")), F.lit("")).alias("title"),
         F.coalesce(ol.inner_text(F.col("byline")), F.lit("")).alias("author"),
         F.coalesce("time.datetime", F.lit("")).alias("date"),
-        F.array_join(_texts_of(chosen), "\n\n").alias("body"),
+        "body",
         _scraped(scraped_at).alias("scraped_at"),
     )
 
@@ -110,8 +110,9 @@ def _long(p: Column) -> Column:
 
 
 def _body_parts(outlines: DataFrame, terms: tuple[str, ...], div_step, last_step=None) -> DataFrame:
-    """Add ``paragraphs``: the first article's, else the content divs', else the last step's.
+    """Add ``body``, ``body_length`` and ``paragraphs_count``.
 
+    Paragraphs are the first article's, else the content divs', else the last step's.
     Each later step sits in the branch of a CASE, so it runs only for pages whose
     earlier steps found too little.  Content divs are visited as one set: a paragraph
     inside any of them counts once, in document order, which is what visiting them
@@ -129,13 +130,30 @@ def _body_parts(outlines: DataFrame, terms: tuple[str, ...], div_step, last_step
             F.filter("ps", lambda p: _in_article(p) & _unlike(p, fv.SKIPPED_CLASSES) & _long(p))
         ),
     )
-    step2 = F.array_distinct(_texts_of(F.filter("ps", lambda p: _in_content_div(p) & div_step(p) & _long(p))))
-    enough = fv.ENOUGH_PARAGRAPHS
-    named = _with_named(named, step12=F.when(F.size("step1") >= enough, F.col("step1")).otherwise(step2))
-    if last_step is None:
-        return named.withColumnRenamed("step12", "paragraphs")
-    step3 = F.array_distinct(_texts_of(F.filter("ps", last_step)))
-    return _with_named(named, paragraphs=F.when(F.size("step12") >= enough, F.col("step12")).otherwise(step3))
+    chosen = _or_else(
+        F.col("step1"),
+        F.array_distinct(_texts_of(F.filter("ps", lambda p: _in_content_div(p) & div_step(p) & _long(p)))),
+    )
+    if last_step is not None:
+        named = _with_named(named, step12=chosen)
+        chosen = _or_else(F.col("step12"), F.array_distinct(_texts_of(F.filter("ps", last_step))))
+    return _with_body_of(named, chosen)
+
+
+def _or_else(found: Column, otherwise: Column) -> Column:
+    return F.when(F.size(found) >= fv.ENOUGH_PARAGRAPHS, found).otherwise(otherwise)
+
+
+def _with_body_of(named: DataFrame, paragraphs: Column) -> DataFrame:
+    # A one-row generator: the paragraphs are put together once, and a later filter on
+    # the body cannot be planned below this point, where it would repeat the cascade.
+    def assembled(ps: Column) -> Column:
+        body = F.array_join(ps, "\n\n")
+        return F.struct(
+            body.alias("body"), F.length(body).alias("body_length"), F.size(ps).alias("paragraphs_count")
+        )
+
+    return named.select("*", F.inline(F.transform(F.array(paragraphs), assembled)))
 
 
 def _last_resort(p: Column) -> Column:
@@ -146,15 +164,6 @@ def _last_resort(p: Column) -> Column:
     )
 
 
-def _assembled() -> list[Column]:
-    body = F.array_join("paragraphs", "\n\n")
-    return [
-        body.alias("body"),
-        F.length(body).alias("body_length"),
-        F.size("paragraphs").alias("paragraphs_count"),
-    ]
-
-
 def article_v2(outlines: DataFrame, scraped_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The re-extraction form: spaced text, three-step body, date from the URL first."""
     date_candidates = F.array(
@@ -190,7 +199,9 @@ def article_v2(outlines: DataFrame, scraped_at: Column | None = None, keep: tupl
         F.coalesce(ol.inner_text(F.col("h1")), F.lit("")).alias("title"),
         F.coalesce(ol.inner_text(F.col("byline")), F.lit("")).alias("author"),
         F.coalesce(F.nullif(urls.url_date(F.col("url")), F.lit("")), "page_date", F.lit("")).alias("date"),
-        *_assembled(),
+        "body",
+        "body_length",
+        "paragraphs_count",
         _scraped(scraped_at).alias("scraped_at"),
     )
 
@@ -208,7 +219,9 @@ def article_v3(outlines: DataFrame, scraped_at: Column | None = None, keep: tupl
         "url",
         F.coalesce(ol.inner_text(F.col("h1"), " "), F.lit("")).alias("page_title"),
         F.coalesce(ol.inner_text(F.col("byline"), " "), F.lit("")).alias("author"),
-        *_assembled(),
+        "body",
+        "body_length",
+        "paragraphs_count",
         _scraped(scraped_at).alias("scraped_at"),
     )
 

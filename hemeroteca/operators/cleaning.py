@@ -16,9 +16,17 @@ def clean_articles(articles: DataFrame, profile: str = "final", refresh_length:
     Missing stays missing.  Length columns keep describing the uncleaned body unless
     ``refresh_length`` asks for a new ``body_length``.
     """
-    out = articles.withColumns(
-        {c: tx.clean(F.col(c), profile) for c in fv.CLEANED_FIELDS if c in articles.columns}
-    )
+    fields = [c for c in fv.CLEANED_FIELDS if c in articles.columns]
+    table, _, rules = tx.PROFILES[profile]
+    # Three projections, so that each stage's text is made once however often the next
+    # stage looks at it.
+    out = articles
+    for step in (
+        lambda c: tx.fix_mojibake(c, table),
+        lambda c: tx.decode_step(c, profile),
+        lambda c: tx.unglue(c, rules),
+    ):
+        out = out.withColumns({c: step(F.col(c)) for c in fields})
     if refresh_length:
         out = out.withColumn("body_length", F.length("body"))
     return out

@@ -75,7 +75,7 @@ def _candidates(
         ),
         lambda c: keep(c["url"]) & ((c["ctr"] >= 0) if first_of_url == "contained" else F.lit(True)),
     )
-    step = outlines.select(*keys, "texts", "nodes", links.alias("links")).where(F.size("links") > 0)
+    step = outlines.select(*keys, "texts", "nodes", links.alias("links"))
     if first_of_url is not None:
         # All links of a page sit in one row, so this needs no shuffle.
         step = step.withColumn("links", F.array_sort("links"))

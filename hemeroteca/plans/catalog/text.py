@@ -78,8 +78,8 @@ def unglue_final(spark, sf):
     return _over_documents(spark, sf, _GLUED, "split", lambda c: tx.unglue(c, "final"))
 
 
-_SUSPECTS = rf"""list_concat(list_filter(regexp_extract_all(lower(body), '{fv.WORD}'),
-    lambda w: regexp_matches(w, '{fv.LONG_WORD}')), regexp_extract_all(body, '{fv.CAMEL_WORD}'))"""
+_SUSPECTS = r"""list_concat(list_filter(regexp_extract_all(lower(body), '[\p{L}\p{N}_]+'),
+    lambda w: regexp_matches(w, '^[a-záéíóúñ]{20,}$')), regexp_extract_all(body, '[a-záéíóúñ]+[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+'))"""
 
 
 @query(

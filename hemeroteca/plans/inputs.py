@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Give a plain file scan one partition per core before CPU-heavy Python work.
+    """Give a plain file scan one partition per core before CPU-heavy work.
 
     Only a scan with fewer partitions than cores is shuffled; a big table has more
     and passes unchanged.
@@ -137,7 +137,7 @@ ENTITY_TEXT = (
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 def articles(spark: SparkSession, sf: str, body: str = GLUED_TEXT) -> DataFrame:
