@@ -38,18 +38,14 @@ NEXT_WORDS = ("Siguiente", "siguiente", "SIGUIENTE")
 NEXT_CLASSES = ("next", "siguiente")
 
 # --- whitespace --------------------------------------------------------------
-# Every Unicode white-space character, in a spelling Java and RE2 both accept.
-WS_CLASS = (
+# Every Unicode white-space character plus the four separator controls: the JVM's
+# own property, and spelt out for engines that lack it.
+WS = r"[\p{IsWhite_Space}\x1C-\x1F]"
+WS_SPELT_OUT = (
     r"[\s\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
-# The same without the plain blank.
-WS_NOT_BLANK = (
-    r"[\t-\r\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-
 # Characters that count as a digit: decimal digits plus raised, lowered and circled ones.
 DIGIT = r"[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}]"
 

@@ -46,13 +46,13 @@ _REPAIR_PATTERN = f"{_shape(3)}|{_shape(2)}"
 
 def squeeze(col: Column) -> Column:
     """Collapse every white-space run to one blank and strip the ends."""
-    # A lone blank is left alone: it is most of the white space there is.
-    return F.trim(F.regexp_replace(col, f"{fv.WS_CLASS}{{2,}}|{fv.WS_NOT_BLANK}", " "))
+    # A lone blank, which is most of the white space there is, matches nothing.
+    return F.trim(F.regexp_replace(col, f"{fv.WS}(?:{fv.WS}+|(?<! ))", " "))
 
 
 def is_blank(col: Column) -> Column:
     """Missing, empty or white space only."""
-    return F.coalesce(col.rlike(f"^{fv.WS_CLASS}*$"), F.lit(True))
+    return F.coalesce(col.rlike(f"^{fv.WS}*$"), F.lit(True))
 
 
 def _looks_damaged(col: Column) -> Column:

@@ -80,7 +80,7 @@ def _without_dots(path: Column) -> Column:
         F.element_at(pieces, -1).isin(".", ".."), F.array_append(kept, F.lit(""))
     ).otherwise(kept)
     joined = F.array_join(closed, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def absolute_rooted(href: Column, site: str = fv.SITE) -> Column:

@@ -41,7 +41,7 @@ ORDER_URLS_SQL = f"""(SELECT o_orderkey AS idx, {inputs.article_url('o_orderkey'
 
 
 def squeeze_sql(x: str) -> str:
-    return f"trim(regexp_replace({x}, '{fv.WS_CLASS}+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '{fv.WS_SPELT_OUT}+', ' ', 'g'))"
 
 
 def unglue_sql(x: str, rules: str) -> str:
