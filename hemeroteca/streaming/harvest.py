@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +13,15 @@ from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import article, outline, quality
 
 
+#: Keeps the state of long harvests on executor disks instead of the JVM heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Set once per session, before the first stateful query starts."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
 def _start(writer, checkpoint: str, every: str | None) -> StreamingQuery:
     """``every`` is a processing interval; None works off what is there and stops."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
@@ -60,17 +72,31 @@ def watch_progress(
     return _start(writer, checkpoint, every)
 
 
-def first_seen_stream(rows: DataFrame, horizon: str | None = None, event_time: str = "scraped_at") -> DataFrame:
+def _drop_repeats(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        repeated = batch.column(key).to_pandas().duplicated().to_numpy()
+        yield batch.filter(pa.array(~repeated))
+
+
+def first_seen_stream(
+    rows: DataFrame, horizon: str | None = None, event_time: str = "scraped_at", thin: bool = True
+) -> DataFrame:
     """One row per URL across all arrivals.
 
     Without a horizon every URL ever seen stays in state.  With one, state is dropped
     behind the watermark: a repeat arriving later passes again, and a row older than
     the watermark is lost, so choose it longer than the harvest's re-listing gap and
     let the batch ``first_seen`` settle the stored table.
+
+    Streaming dedupe has no map-side half of its own, so a URL that fills a third of a
+    batch would meet in one task.  ``thin`` drops repeats within each Arrow batch
+    before the shuffle; what is left is exact all the same.
     """
-    if horizon is None:
-        return rows.dropDuplicates(["url"])
-    return rows.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(["url"])
+    if horizon is not None:
+        rows = rows.withWatermark(event_time, horizon)
+    if thin:
+        rows = rows.mapInArrow(lambda it: _drop_repeats(it, "url"), rows.schema)
+    return rows.dropDuplicates(["url"]) if horizon is None else rows.dropDuplicatesWithinWatermark(["url"])
 
 
 def append_stream(rows: DataFrame, out: str, checkpoint: str, every: str | None = "5 seconds") -> StreamingQuery:
