@@ -157,8 +157,6 @@ def listing_rows(
         _card_facts,
         first_of_url="contained" if first_link_decides else None,
     ).where("ctr is not null")
-    if seen is not None:
-        rows = resume_backlog(rows, seen)
     rows = rows.select(
         _title(F.col("ctr.heading"), F.col("link_text")).alias("title"),
         "url",
@@ -169,7 +167,10 @@ def listing_rows(
         (F.current_timestamp().cast("timestamp_ntz") if scraped_at is None else scraped_at).alias("scraped_at"),
         "pos",
     ).where(F.length("title") >= fv.MIN_TITLE)
-    return first_seen(rows)
+    once = first_seen(rows)
+    # Seen URLs go after the dedupe: one row per URL is left by then, already
+    # partitioned by URL for the join.
+    return once if seen is None else resume_backlog(once, seen)
 
 
 def section_listing_rows(outlines: DataFrame, page: str = "page", site: str = fv.SITE) -> DataFrame:
@@ -271,19 +272,42 @@ def structure_profile(outlines: DataFrame, sections: tuple[str, ...] = fv.CORE_S
     return per_page.agg(F.count("*").alias("pages"), *[F.sum(c).alias(c) for c in names])
 
 
-def structure_samples(outlines: DataFrame, *keys: str, size: int = 3) -> DataFrame:
-    """The first few articles of each page with class, first link and first heading."""
+def structure_samples(
+    outlines: DataFrame, *keys: str, sections: tuple[str, ...] = fv.CORE_SECTIONS, sizes: tuple[int, ...] = (3, 5, 10)
+) -> DataFrame:
+    """The first few articles, card divs and section links of each page, with class,
+    first link and first heading or link text."""
+
+    def linked(x: Column) -> Column:
+        return (x["tag"] == "a") & x["href"].isNotNull()
+
+    def block(kind: str):
+        def describe(a: Column) -> Column:
+            inner = F.slice(F.col("nodes"), a["pos"] + 2, a["stop"] - a["pos"] - 1)
+            heading = ol.first(inner, lambda x: x["tag"].isin("h1", "h2", "h3"))
+            return sample(kind, a, ol.first(inner, linked)["href"], ol.inner_text(heading))
+
+        return describe
 
-    def sample(a: Column) -> Column:
-        inner = F.slice(F.col("nodes"), a["pos"] + 2, a["stop"] - a["pos"] - 1)
-        link = ol.first(inner, lambda x: (x["tag"] == "a") & x["href"].isNotNull())
-        heading = ol.first(inner, lambda x: x["tag"].isin("h1", "h2", "h3"))
+    def sample(kind: str, a: Column, href: Column, text: Column) -> Column:
         return F.struct(
+            F.lit(kind).alias("kind"),
             a["pos"].alias("pos"),
             a["cls"].alias("classes"),
-            F.substring(link["href"], 1, 100).alias("first_href"),
-            F.substring(ol.inner_text(heading), 1, 100).alias("first_heading"),
+            F.substring(href, 1, 100).alias("href"),
+            F.substring(text, 1, 100).alias("text"),
         )
 
-    articles = F.slice(F.filter("nodes", lambda x: x["tag"] == "article"), 1, size)
-    return outlines.select(*keys, F.inline(F.transform(articles, sample)))
+    def take(n: int, wanted) -> Column:
+        return F.slice(F.filter("nodes", wanted), 1, n)
+
+    section_path = f"/(?:{'|'.join(sections)})/"
+    articles = take(sizes[0], lambda x: x["tag"] == "article")
+    cards = take(sizes[1], lambda x: (x["tag"] == "div") & ol.class_like(x, tx.any_of(fv.PROFILE_CLASSES)))
+    links = take(sizes[2], lambda x: linked(x) & x["href"].rlike(section_path))
+    samples = F.concat(
+        F.transform(articles, block("article")),
+        F.transform(cards, block("card")),
+        F.transform(links, lambda a: sample("link", a, a["href"], ol.inner_text(a))),
+    )
+    return outlines.select(*keys, F.inline(samples))

@@ -1 +1 @@
-"""Whole pipelines, and the catalogue of runnable queries with their checks."""
+"""Whole workflows, and the catalogue of runnable queries with their checks."""

@@ -166,6 +166,11 @@ def duplicate_groups(spark, sf):
     return dedupe.duplicate_groups(inputs.listing(spark, sf))
 
 
+@query(f"SELECT title, count(*) AS n FROM {LISTING_SQL} GROUP BY 1 HAVING count(*) > 1")
+def duplicate_titles(spark, sf):
+    return dedupe.duplicate_groups(inputs.listing(spark, sf), "title")
+
+
 @query("SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def duplicate_texts(spark, sf):
     return dedupe.duplicate_groups(inputs.documents(spark, sf), "text")

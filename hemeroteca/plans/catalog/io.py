@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import cleaning, dedupe
 from hemeroteca.plans import inputs
 from hemeroteca.plans.catalog.registry import ORDER_URLS_SQL, articles_sql, query
@@ -50,14 +51,13 @@ def json_array_scan(spark, sf):
     return back.select(*_DOCS.names, (first + F.col("idx")).alias("idx_in_source"))
 
 
-@query("SELECT doc_id, text, lang, source FROM documents WHERE doc_id % 10 > 0")
+@query("SELECT doc_id, text, lang, source FROM documents")
 def json_folder_scan(spark, sf):
-    """A folder of JSON files in which some are checkpoints and do not count."""
+    """A folder that holds the records and a checkpoint of them, which does not count."""
     path = scratch_path(spark, "json-folder")
     rows = _docs(spark, sf)
-    is_checkpoint = F.col("doc_id") % 10 == 0
-    writers.write_records(rows.where(~is_checkpoint), f"{path}/articles.json")
-    writers.write_records(rows.where(is_checkpoint), f"{path}/checkpoint_articles.json")
+    for name in ("articles.json", "checkpoint_articles.json"):
+        writers.write_records(rows, f"{path}/{name}")
     return readers.read_json_folder(spark, path, _DOCS, multi_line=False)
 
 
@@ -91,6 +91,17 @@ def snapshot_folders(spark, sf):
     return back.groupBy("snapshot").agg(F.count("*").alias("n"), F.min("idx").alias("first_idx"))
 
 
+@query(
+    """SELECT CAST(page // 5 + 1 AS INT) AS checkpoint, count(*) AS n, max(page) AS last_page
+    FROM (SELECT CAST(doc_id % 105 + 1 AS INT) - 1 AS page FROM documents) GROUP BY 1"""
+)
+def checkpoint_buckets(spark, sf):
+    """Rows that each progress checkpoint adds, one checkpoint per five pages."""
+    pages = inputs.listing(spark, sf).select((F.col("page") - 1).alias("page"))
+    numbered = pages.withColumn("checkpoint", writers.snapshot_no("page", fv.PAGES_PER_CHECKPOINT))
+    return numbered.groupBy("checkpoint").agg(F.count("*").alias("n"), F.max("page").alias("last_page"))
+
+
 @query(f"SELECT idx, url FROM {ORDER_URLS_SQL}")
 def resume_from_output(spark, sf):
     """Two runs into one append-only output: the second does what the first has left."""

@@ -128,12 +128,18 @@ structure_profile = f"""{tree(SEARCH_PAGES)} SELECT (SELECT count(*) FROM src) A
     count(*) FILTER (tag = 'div' AND regexp_matches(cls, '(?i){'|'.join(fv.PROFILE_CLASSES)}')) AS card_divs,
     count(*) FILTER (tag = 'a' AND href IS NOT NULL) AS links,
     count(*) FILTER (tag = 'a' AND regexp_matches(href, '/(economia|politica)/')) AS section_links FROM elt"""
-structure_samples = f"""{tree(ARTICLE_PAGES)}, arts AS (SELECT * FROM elt WHERE tag = 'article'
-    QUALIFY row_number() OVER (PARTITION BY k ORDER BY i) <= 3),
+structure_samples = f"""{tree(SEARCH_PAGES)}, arts AS (
+    SELECT *, 'article' AS kind FROM elt WHERE tag = 'article' QUALIFY row_number() OVER (PARTITION BY k ORDER BY i) <= 3
+    UNION ALL
+    SELECT *, 'card' AS kind FROM elt WHERE tag = 'div' AND regexp_matches(cls, '(?i){'|'.join(fv.PROFILE_CLASSES)}')
+    QUALIFY row_number() OVER (PARTITION BY k ORDER BY i) <= 5),
 heads AS (SELECT k, root, arg_min(tight, i) AS v FROM sub WHERE tag IN ('h1', 'h2', 'h3') GROUP BY 1, 2),
 hrefs AS (SELECT k, root, arg_min(href, i) AS v FROM sub WHERE tag = 'a' AND href IS NOT NULL GROUP BY 1, 2)
-SELECT a.k AS page_id, a.cls AS classes, left(r.v, 100) AS first_href, left(h.v, 100) AS first_heading FROM arts a
-LEFT JOIN heads h ON h.k = a.k AND h.root = a.i LEFT JOIN hrefs r ON r.k = a.k AND r.root = a.i"""
+SELECT a.k AS page, kind, a.cls AS classes, left(r.v, 100) AS href, left(h.v, 100) AS text FROM arts a
+LEFT JOIN heads h ON h.k = a.k AND h.root = a.i LEFT JOIN hrefs r ON r.k = a.k AND r.root = a.i
+UNION ALL SELECT * FROM (SELECT k, 'link', cls, left(href, 100), left(tight, 100) FROM elt
+    WHERE tag = 'a' AND regexp_matches(href, '/(economia|politica)/')
+    QUALIFY row_number() OVER (PARTITION BY k ORDER BY i) <= 10)"""
 
 _SAYS_NEXT = "regexp_matches(tight, 'Siguiente|siguiente|SIGUIENTE')"
 next_page = f"""{tree(SEARCH_PAGES)}, found AS (SELECT k, href, CASE WHEN {_SAYS_NEXT} THEN 1 WHEN rel = 'next' THEN 2

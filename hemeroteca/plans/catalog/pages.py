@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hemeroteca.operators import article, listing
 from hemeroteca.operators.outline import inner_text, outline
-from hemeroteca.plans import inputs, pipelines
+from hemeroteca.plans import inputs, workflows
 from hemeroteca.plans.catalog import page_checks as check
 from hemeroteca.plans.catalog.registry import query
 from hemeroteca.sources.writers import materialise
@@ -75,8 +75,8 @@ def listing_sections(spark, sf):
 @query(check.listing_resumed)
 def listing_resumed(spark, sf):
     pages = inputs.search_pages(spark, sf)
-    earlier = materialise(pipelines.harvest_listing(pages, _TERM, max_pages=5), "earlier")
-    return pipelines.harvest_listing(pages, _TERM, resume_from=earlier).select("title", "url", "page")
+    earlier = materialise(workflows.harvest_listing(pages, _TERM, max_pages=5), "earlier")
+    return workflows.harvest_listing(pages, _TERM, resume_from=earlier).select("title", "url", "page")
 
 
 @query(check.page_yield)
@@ -98,7 +98,7 @@ def structure_profile(spark, sf):
 
 @query(check.structure_samples)
 def structure_samples(spark, sf):
-    return listing.structure_samples(_articles(spark, sf), "page_id").drop("pos")
+    return listing.structure_samples(_search(spark, sf), "page").drop("pos")
 
 
 @query(check.next_page)
@@ -162,8 +162,8 @@ def text_joining(spark, sf):
     f"""SELECT a.* FROM ({check.article_v1}) a WHERE a.url IN (SELECT url FROM ({check.listing_first_qualifying}))"""
 )
 def harvest_articles(spark, sf):
-    rows = materialise(pipelines.harvest_listing(inputs.search_pages(spark, sf), _TERM), "listing")
-    return pipelines.harvest_articles(rows, inputs.article_pages(spark, sf)).drop("scraped_at")
+    rows = materialise(workflows.harvest_listing(inputs.search_pages(spark, sf), _TERM), "listing")
+    return workflows.harvest_articles(rows, inputs.article_pages(spark, sf)).drop("scraped_at")
 
 
 @query(
@@ -171,9 +171,9 @@ def harvest_articles(spark, sf):
     WHERE a.url IN (SELECT url FROM ({check.listing_first_qualifying}) WHERE page > 3)"""
 )
 def reextracted_articles(spark, sf):
-    rows = materialise(pipelines.harvest_listing(inputs.search_pages(spark, sf), _TERM), "listing")
+    rows = materialise(workflows.harvest_listing(inputs.search_pages(spark, sf), _TERM), "listing")
     done = rows.where("page <= 3")
-    return pipelines.reextract(rows, inputs.article_pages(spark, sf), done).drop("scraped_at")
+    return workflows.reextract(rows, inputs.article_pages(spark, sf), done).drop("scraped_at")
 
 
 @query(
@@ -182,7 +182,7 @@ def reextracted_articles(spark, sf):
     WHERE a.body <> ''"""
 )
 def enriched_articles(spark, sf):
-    articles = pipelines.harvest_enriched(
+    articles = workflows.harvest_enriched(
         inputs.search_pages(spark, sf), inputs.article_pages(spark, sf), target=None
     )
     return articles.drop("scraped_at")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.functions import text as tx
 from hemeroteca.operators import cleaning, quality
-from hemeroteca.plans import inputs, pipelines
+from hemeroteca.plans import inputs, workflows
 from hemeroteca.plans.catalog.registry import (
     ENTITY_PAIRS,
     articles_sql,
@@ -158,7 +158,7 @@ def unglue_change_count(spark, sf):
 
 @query(_cleaned_sql(_final_sql, _DAMAGED, _CORE))
 def clean_and_report_articles(spark, sf):
-    return pipelines.clean_and_report(_damaged(spark, sf))["articles"]
+    return workflows.clean_and_report(_damaged(spark, sf))["articles"]
 
 
 @query(
@@ -166,7 +166,7 @@ def clean_and_report_articles(spark, sf):
     CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER () AS pct FROM {_DAMAGED} {_CORE} GROUP BY 1"""
 )
 def clean_and_report_sections(spark, sf):
-    return pipelines.clean_and_report(_damaged(spark, sf))["sections"]
+    return workflows.clean_and_report(_damaged(spark, sf))["sections"]
 
 
 @query(
@@ -174,4 +174,4 @@ def clean_and_report_sections(spark, sf):
     GROUP BY 1"""
 )
 def clean_and_report_years(spark, sf):
-    return pipelines.clean_and_report(_damaged(spark, sf))["years"]
+    return workflows.clean_and_report(_damaged(spark, sf))["years"]

@@ -84,7 +84,7 @@ SEARCH_HEAD = (
     '<div class="results"><ul>'
 )
 SEARCH_TAIL = (
-    '</ul></div><div class="ranking"><a href="/economia/portada/">Lo mas leido de la semana en economia</a>'
+    '</ul></div><article class="Destacada"><h2>Destacada</h2><a href="/">Inicio</a></article><div class="ranking"><a href="/economia/portada/">Lo mas leido de la semana en economia</a>'
     '<a href="/economia/fotos/1/">Galeria de fotos de la semana en economia</a>'
     '<a href="https://otro.example.org/politica/x/">Una nota ajena de politica nacional</a></div>'
 )

@@ -43,17 +43,19 @@ def read_json_folder(
     if schema is not None:
         reader = reader.schema(schema)
     # Chosen by name before reading, so checkpoints are not even opened.
-    names = [n for n in _children(spark, folder) if n.endswith(".json") and "checkpoint" not in n]
+    names = json_names(spark, folder)
     if not names:
         return spark.createDataFrame([], schema or T.StructType([]))
     return reader.json([f"{folder.rstrip('/')}/{n}" for n in names])
 
 
-def _children(spark: SparkSession, folder: str) -> list[str]:
+def json_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names ending in ``.json`` that do not speak of a checkpoint."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(folder)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(n for n in names if n.endswith(".json") and "checkpoint" not in n)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.session import scratch_path
-from hemeroteca.sources.readers import CSV_OPTIONS
+from hemeroteca.sources.readers import CSV_OPTIONS, json_names
 
 
 def write_records(rows: DataFrame, path: str, mode: str = "error") -> None:
@@ -15,11 +15,20 @@ def write_records(rows: DataFrame, path: str, mode: str = "error") -> None:
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_csv(rows: DataFrame, path: str, columns: list[str] | None = None, mode: str = "error") -> None:
-    """CSV with a header in column order, or in the order given."""
+def write_csv(
+    rows: DataFrame, path: str, columns: list[str] | None = None, mode: str = "error", skip_empty: bool = False
+) -> bool:
+    """CSV with a header in column order, or in the order given.
+
+    ``skip_empty`` writes nothing for an empty table.  The test looks for one row, so
+    hand in stored rows with it.
+    """
+    if skip_empty and rows.isEmpty():
+        return False
     out = rows.select(*(columns or rows.columns))
     # Empty text is written as nothing, not as a quoted blank.
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    return True
 
 
 def json_to_csv(spark: SparkSession, json_path: str, csv_path: str | None = None, multi_line: bool = True):
@@ -38,6 +47,14 @@ def json_to_csv(spark: SparkSession, json_path: str, csv_path: str | None = None
     return csv_path, seen.get["n"], len(rows.columns)
 
 
+def json_folder_to_csv(spark: SparkSession, folder: str, multi_line: bool = True) -> list:
+    """``json_to_csv`` for every JSON file of a folder that is not a checkpoint."""
+    return [
+        json_to_csv(spark, f"{folder.rstrip('/')}/{name}", multi_line=multi_line)
+        for name in json_names(spark, folder)
+    ]
+
+
 def write_report(issues: DataFrame, path: str) -> bool:
     """The glued-word report, written only when there is something in it."""
     if issues.isEmpty():

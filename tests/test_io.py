@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from hemeroteca import schemas
 from hemeroteca.operators import cleaning, dedupe, quality
-from hemeroteca.plans import pipelines
+from hemeroteca.plans import workflows
 from hemeroteca.session import scratch_path
 from hemeroteca.sources import readers, writers
 
@@ -101,6 +101,16 @@ def test_json_to_csv(spark, tmp_path):
     assert writers.json_to_csv(spark, dump(tmp_path / "empty.json", [])) is None
 
 
+def test_folder_to_csv(spark, tmp_path):
+    for name in ("one.json", "two.json", "checkpoint.json"):
+        dump(tmp_path / name, RAGGED)
+    dump(tmp_path / "zero.json", [])
+    got = writers.json_folder_to_csv(spark, str(tmp_path))
+    assert [r and (os.path.basename(r[0]), r[1], r[2]) for r in got] == [("one.csv", 2, 5), ("two.csv", 2, 5), None]
+    assert not writers.write_csv(spark.createDataFrame([], "a int"), str(tmp_path / "none"), skip_empty=True)
+    assert not os.path.exists(tmp_path / "none")
+
+
 def test_report_only_when_there_are_issues(spark, tmp_path):
     df = spark.createDataFrame([(0, "t", "u", "presidenteJavier")], "idx long, title string, url string, body string")
     report = quality.glued_report(df)
@@ -164,7 +174,7 @@ def test_clean_and_report(spark):
         ],
         "idx long, url string, date string, body string",
     )
-    out = pipelines.clean_and_report(df)
+    out = workflows.clean_and_report(df)
     assert {r.idx: r.body for r in out["articles"].collect()} == {0: "empresa Privada", 1: "b", 3: "d"}
     assert [(r.section, r.n) for r in out["sections"].collect()] == [("politica", 2), ("economia", 1)]
     assert [(r.year, r.n) for r in out["years"].collect()] == [("2024", 1), ("2023", 1)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import article, listing
 from hemeroteca.operators.outline import outline
-from hemeroteca.plans import pipelines
+from hemeroteca.plans import workflows
 
 SITE = fv.SITE
 LONG = "Título suficientemente largo para pasar"
@@ -124,8 +124,8 @@ def test_resumed_harvest_keeps_old_rows_and_skips_old_pages(spark):
         [(1, card(1) + card(2)), (2, card(3)), (3, card(2) + card(4))], "page int, html string"
     )
     when = F.lit(datetime.datetime(2025, 1, 1)).cast("timestamp_ntz")
-    first = pipelines.harvest_listing(pages, "q", max_pages=1, scraped_at=when)
-    both = pipelines.harvest_listing(pages, "q", resume_from=first, scraped_at=when)
+    first = workflows.harvest_listing(pages, "q", max_pages=1, scraped_at=when)
+    both = workflows.harvest_listing(pages, "q", resume_from=first, scraped_at=when)
     assert sorted((r.page, r.url[-2]) for r in both.collect()) == [(1, "1"), (1, "2"), (2, "3"), (3, "4")]
 
 
@@ -233,8 +233,8 @@ def test_large_url_sets_take_the_other_way(spark, monkeypatch):
         [(f"https://h/{i}", f"<article><p>{para('x', 40)}</p></article>") for i in range(20)], "url string, html string"
     )
     listed = pages.select("url").limit(7)
-    small = pipelines.harvest_articles(listed, pages).drop("scraped_at")
-    monkeypatch.setattr(pipelines, "SMALL_URL_SET", 0)
-    large = pipelines.harvest_articles(listed, pages).drop("scraped_at")
+    small = workflows.harvest_articles(listed, pages).drop("scraped_at")
+    monkeypatch.setattr(workflows, "SMALL_URL_SET", 0)
+    large = workflows.harvest_articles(listed, pages).drop("scraped_at")
     assert small.exceptAll(large).count() == 0 and small.count() == large.count() == 7
-    assert pipelines.reextract(listed, pages, done=listed.limit(2)).count() == 5
+    assert workflows.reextract(listed, pages, done=listed.limit(2)).count() == 5
