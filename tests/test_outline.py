@@ -1,5 +1,7 @@
 """The page tree: what is open when, and what counts as text."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from hemeroteca.operators import article
@@ -84,3 +86,37 @@ def test_columns_pass_through(spark):
     df = spark.createDataFrame([(7, "<p>a</p>", 1.5)], "k int, html string, w double")
     assert ol.outline(df).columns == ["k", "w", "error", "texts", "nodes"]
     assert ol.outline(df).select("k", "w", F.size("nodes")).first() == (7, 1.5, 1)
+
+
+MARKUP = (
+    """<p>|</p>|<div class="a  B">|</div>|<br>|<br/>|<li>|<a href="/x?a=1&amp;b=2&copy=3" rel=next>|<a href="/y">|</a>|text| |"""
+    """&amp;|&eacute|&copy;|<|>|"|'|<!-- c -->|<!---->|<!-->|<!-- a -- b -->|<script>|var a="<p>";|</script>|</SCRIPT >|<style>|"""
+    """</style>|<title>|</title>|<textarea>|</textarea>|<xmp>|<b|<p class=x>|<p class='y'>|</p x="1">|<P CLASS="Q" disabled>|"""
+    """<!DOCTYPE html>|<?php ?>|<![CDATA[x]]>|<template>|</template>|<em itemprop="author">|</em>|<article>|</article>|<h1>|"""
+    """</h1>|</|&|&#233;|\n|<p\n class="z"\n>|<span class="">|</span>|<img src="a" alt="<b>">|<rt>|</rt>|<time datetime="">|"""
+    """</time>|<a class="b"href="c">|-->|<script/>|<div/>"""
+).split("|")
+
+
+def read(page, plainly):
+    reader = ol._PageReader()
+    reader.read(page, plainly)
+    return reader.nodes, reader.texts
+
+
+def test_the_short_way_and_the_library_parser_agree():
+    rng, plain = random.Random(3), 0
+    for _ in range(15000):
+        page = "".join(rng.choice(MARKUP) for _ in range(rng.randint(0, 9)))
+        assert read(page, True) == read(page, False), page
+        probe = ol._PageReader()
+        probe._begin()
+        plain += probe._read_plain(page)
+    assert 3000 < plain < 12000, "both ways must have been taken"
+
+
+def test_the_short_way_on_the_given_pages(spark, sf):
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").select("html").collect()]
+    cut = [p[: len(p) * k // 7] for p in pages[:10] for k in range(1, 7)]
+    for page in pages + cut:
+        assert read(page, True) == read(page, False)
