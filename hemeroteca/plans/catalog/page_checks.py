@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.plans import inputs
-from hemeroteca.plans.catalog.registry import ENTITY_PAIRS, replaced_sql
+from hemeroteca.plans.catalog.registry import decoded_sql
 
 _VOID = ", ".join(f"'{t}'" for t in fv.VOID_TAGS)
 
@@ -26,7 +26,7 @@ def _attr(name: str) -> str:
 
 def tree(source: str) -> str:
     """``el``: elements with their open ancestors; ``inn``: tight and spaced text of each; ``sub``: descendants."""
-    trimmed = f"regexp_replace({replaced_sql('t', ENTITY_PAIRS)}, '^{fv.WS_SPELT_OUT}+|{fv.WS_SPELT_OUT}+$', '', 'g')"
+    trimmed = f"regexp_replace({decoded_sql('t')}, '^{fv.WS_SPELT_OUT}+|{fv.WS_SPELT_OUT}+$', '', 'g')"
     return f"""WITH RECURSIVE src AS ({source}),
 toks AS (SELECT k, regexp_extract_all(regexp_replace(html,
     '<!--.*?-->|<script.*?</script>|<style.*?</style>|<!DOCTYPE[^>]*>', '', 'gs'), '<[^>]*>|[^<]+') AS ts FROM src),

@@ -9,8 +9,8 @@ from hemeroteca.functions import text as tx
 from hemeroteca.operators import cleaning, quality
 from hemeroteca.plans import inputs, workflows
 from hemeroteca.plans.catalog.registry import (
-    ENTITY_PAIRS,
     articles_sql,
+    decoded_sql,
     query,
     replaced_sql,
     squeeze_sql,
@@ -43,7 +43,7 @@ def mojibake_repair(spark, sf):
     return _over_documents(spark, sf, _BAD, "fixed", lambda c: tx.fix_mojibake(c, "repair"))
 
 
-@query(f"SELECT doc_id, {replaced_sql(_ENTITIES, ENTITY_PAIRS)} AS decoded FROM documents")
+@query(f"SELECT doc_id, {decoded_sql(_ENTITIES)} AS decoded FROM documents")
 def entities(spark, sf):
     return _over_documents(spark, sf, _ENTITIES, "decoded", tx.decode_entities)
 
@@ -104,12 +104,12 @@ def issue_rate(spark, sf):
 
 
 def _final_sql(x: str) -> str:
-    decoded = replaced_sql(replaced_sql(x, fv.MOJIBAKE["B"]), ENTITY_PAIRS)
+    decoded = decoded_sql(replaced_sql(x, fv.MOJIBAKE["B"]))
     return unglue_sql(squeeze_sql(f"nfc_normalize({decoded})"), "final")
 
 
 def _conservative_sql(x: str) -> str:
-    return unglue_sql(replaced_sql(replaced_sql(x, fv.MOJIBAKE["A"]), ENTITY_PAIRS), "conservative")
+    return unglue_sql(decoded_sql(replaced_sql(x, fv.MOJIBAKE["A"])), "conservative")
 
 
 def _cleaned_sql(clean, source: str, where: str = "") -> str:

@@ -56,7 +56,7 @@ def difference(spark, con, run, sql: str, sf: str) -> str | None:
     only_got, only_want = list((got - want).items()), list((want - got).items())
     return (
         f"{sum(got.values())} rows != {sum(want.values())}; {len(only_got)} only here, {len(only_want)} only there"
-        f"\n   here : {str(sorted(only_got, key=str)[:2])[:1200]}\n   there: {str(sorted(only_want, key=str)[:2])[:1200]}"
+        f"\n   here : {str(sorted(only_got, key=str)[:2])[:400]}\n   there: {str(sorted(only_want, key=str)[:2])[:400]}"
     )
 
 

@@ -68,12 +68,14 @@ def test_many_pages_cross_flush_borders(spark, monkeypatch):
 
 
 def test_failures_are_rows_not_crashes(spark, monkeypatch):
+    push = ol._PageReader._push
+
     def broken(self, tag, attrs):
         if tag == "boom":
             raise RuntimeError("no")
-        self._push(tag, attrs)
+        push(self, tag, attrs)
 
-    monkeypatch.setattr(ol._PageReader, "handle_starttag", broken)
+    monkeypatch.setattr(ol._PageReader, "_push", broken)
     out = outlined(spark, "<p>a</p>", "<p>lost<boom>", "<p>b</p>", None)
     got = {r.page_id: (r.error, len(r.nodes), r.texts) for r in out.collect()}
     assert got == {0: (None, 1, ["a"]), 1: ("RuntimeError: no", 0, []), 2: (None, 1, ["b"]), 3: (None, 0, [])}
