@@ -34,58 +34,51 @@ def union_seen(*parts: DataFrame, key: str = "url") -> DataFrame:
     return append_rows(*[p.select(key) for p in parts]).distinct()
 
 
-def number_within(rows: DataFrame, key: str, order: str, block: Column, name: str = "number") -> DataFrame:
-    """1-based numbering of each key's rows in ``order``, safe for huge keys.
-
-    ``block`` must not decrease along ``order`` (an index divided by a constant, a
-    page number).  Rows are numbered inside (key, block) and moved up by the rows in
-    the key's earlier blocks, so no task ever holds more than one block of a key.
+def _numbered(rows: DataFrame, key: str, order: str, block: Column, name: str, repeated_only: bool) -> DataFrame:
+    """Number each key's rows in ``order``; ``n`` is the key's row count.
+
+    Rows shuffle on (key, block), so the rows of one hot key spread over many tasks;
+    only block sizes are ever gathered per key.  A row's number is its place in its
+    block plus the rows in the key's earlier blocks.  Key and block travel as one
+    struct, in which a missing key equals a missing key, and which join and window
+    can share one shuffle on.
     """
-    rows = rows.withColumn("_block", block)
-    sizes = rows.groupBy(key, "_block").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(key).alias("_key"),
-        F.col("_block").alias("_key_block"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+    keyed = rows.withColumn("_kb", F.struct(F.col(key).alias("k"), block.alias("b")))
+    per_key = Window.partitionBy("_kb.k")
+    earlier = per_key.orderBy("_kb.b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        keyed.groupBy("_kb")
+        .agg(F.count("*").alias("_n"))
+        .select(
+            "_kb",
+            F.sum("_n").over(per_key).alias("n"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        )
     )
-    within = Window.partitionBy(key, "_block").orderBy(order)
+    if repeated_only:
+        offsets = offsets.where("n > 1")
+    within = Window.partitionBy("_kb").orderBy(order)
     return (
-        rows.join(
-            offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_key_block"))
-        )
+        keyed.join(offsets, "_kb")
         .withColumn(name, F.row_number().over(within) + F.col("_offset"))
-        .drop("_block", "_key", "_key_block", "_offset")
+        .drop("_kb", "_offset")
     )
 
 
+def number_within(rows: DataFrame, key: str, order: str, block: Column, name: str = "number") -> DataFrame:
+    """1-based numbering of each key's rows in ``order``, safe for huge keys.
+
+    ``block`` must not decrease along ``order``: an index divided by a constant, a page
+    number.
+    """
+    return _numbered(rows, key, order, block, name, repeated_only=False).drop("n")
+
+
 def duplicate_groups(rows: DataFrame, key: str = "url") -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def duplicate_rows(rows: DataFrame, key: str = "url", order: str = "idx", block_rows: int = 1_000_000) -> DataFrame:
-    """Every row of every repeated key, with the key's row count and the row's number in it.
-
-    Rows shuffle on (key, block of ``order``) rather than on the key, so the rows of
-    one hot key spread over many tasks.  Only counts are ever gathered per key.
-    """
-    rows = rows.withColumn("_block", F.expr(f"`{order}` div {block_rows}"))
-    sizes = rows.groupBy(key, "_block").agg(F.count("*").alias("_n"))
-    per_key = Window.partitionBy(key)
-    earlier = per_key.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    repeated = (
-        sizes.select(
-            key,
-            "_block",
-            F.sum("_n").over(per_key).alias("n"),
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        )
-        .where("n > 1")
-    )
-    within = Window.partitionBy(key, "_block").orderBy(order)
-    return (
-        rows.join(repeated, [key, "_block"])
-        .withColumn("number", F.row_number().over(within) + F.col("_offset"))
-        .drop("_block", "_offset")
-    )
+    """Every row of every repeated key, with the key's row count and the row's number in it."""
+    return _numbered(rows, key, order, F.expr(f"`{order}` div {block_rows}"), "number", repeated_only=True)

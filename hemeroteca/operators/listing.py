@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,11 +56,17 @@ def article_links(
 
 
 def _candidates(
-    outlines: DataFrame, keys: list[str], url: Column, keep: Column, facts, first_of_url: str | None = None
+    outlines: DataFrame,
+    keys: list[str],
+    url: Callable[[Column], Column],
+    keep: Callable[[Column], Column],
+    facts: Callable[[Column], Column],
+    first_of_url: str | None = None,
 ) -> DataFrame:
     """Rows for the links ``keep`` accepts, each with the facts of its container.
 
-    ``url`` and ``keep`` are functions of a node and of a URL.  ``first_of_url`` leaves
+    ``url`` makes a URL of an href, ``keep`` tests it, ``facts`` reads the nodes inside a
+    container.  ``first_of_url`` leaves
     one link per URL and page: the first of ``any`` links, or of those ``contained`` in
     an enclosing element.  Facts are worked out once per distinct container, not once
     per link, so a page that hangs all its links in one big element is walked once.
@@ -225,14 +232,15 @@ def cut_at_empty_page(rows: DataFrame, pages: DataFrame, page: str = "page") ->
 def next_page(outlines: DataFrame, *keys: str, with_buttons: bool = False) -> DataFrame:
     """Whether a page links to a next one, and where to.
 
-    The lookups run in order - link text, then ``rel``, then class - and the first
-    that finds an element decides.  ``with_buttons`` is the other published order:
+    The lookups run in order - the link's own first text, then ``rel``, then class - and
+    the first that finds an element decides.  ``with_buttons`` is the other published order:
     link text, button text, then anything with a next-like class.
     """
 
     def says_next(n: Column) -> Column:
         words = fv.NEXT_WORDS[:1] if with_buttons else fv.NEXT_WORDS
-        return reduce(lambda a, b: a | b, [F.contains(ol.inner_text(n), F.lit(w)) for w in words])
+        text = F.when(n["own"] >= 0, F.get(F.col("texts"), n["own"])).otherwise(F.lit(""))
+        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
     if with_buttons:
         found = F.coalesce(

@@ -5,7 +5,8 @@
 * ``texts`` - the stripped, non-empty runs of text in document order;
 * ``nodes`` - the elements in document order, as nested sets: element ``pos``
   covers nodes ``pos+1 .. stop-1`` and texts ``t0 .. t1-1``; ``ctr`` is its nearest
-  enclosing article, div or li (-1 if none).
+  enclosing article, div or li (-1 if none); ``own`` is the text that comes first
+  among its direct children (-1 if that is blank, NULL if there is none).
 
 What counts as a title, a description or a paragraph is decided afterwards by
 Catalyst expressions over these arrays (``listing``, ``article``), page by page and
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 from hemeroteca.functions import fixed_values as fv
 
-_NUMBERS = ("pos", "stop", "t0", "t1", "ctr")
+_NUMBERS = ("pos", "stop", "t0", "t1", "ctr", "own")
 _ATTRS = ("cls", "href", "datetime", "itemprop", "rel")
 NODE = T.StructType(
     [T.StructField("tag", T.StringType())]
@@ -131,7 +132,8 @@ class _PageReader(HTMLParser):
         rest = page[end:]
         if "<" in rest or own_text:
             return False
-        self.pending.append(unescape(rest))
+        if rest:
+            self.pending.append(unescape(rest))
         return True
 
     def updatepos(self, i: int, j: int) -> int:
@@ -180,6 +182,10 @@ class _PageReader(HTMLParser):
         if self.pending:
             text = "".join(self.pending).strip()
             self.pending.clear()
+            parent = self.open[-1][1] if self.open else -1
+            if parent >= 0 and self.nodes["own"][self.first_node + parent] is None:
+                shown = text and not self.silent
+                self.nodes["own"][self.first_node + parent] = len(self.texts) - self.first_text if shown else -1
             if text and not self.silent:
                 self.texts.append(text)
 
@@ -202,6 +208,7 @@ class _PageReader(HTMLParser):
             n["ctr"].append(container)
             n["stop"].append(None)
             n["t1"].append(None)
+            n["own"].append(None)
         self.open.append((tag, pos, pos if tag in _ENCLOSING else container))
         self.open_count[tag] += 1
         if tag in _SILENT:

@@ -141,14 +141,16 @@ UNION ALL SELECT * FROM (SELECT k, 'link', cls, left(href, 100), left(tight, 100
     WHERE tag = 'a' AND regexp_matches(href, '/(economia|politica)/')
     QUALIFY row_number() OVER (PARTITION BY k ORDER BY i) <= 10)"""
 
-_SAYS_NEXT = "regexp_matches(tight, 'Siguiente|siguiente|SIGUIENTE')"
-next_page = f"""{tree(SEARCH_PAGES)}, found AS (SELECT k, href, CASE WHEN {_SAYS_NEXT} THEN 1 WHEN rel = 'next' THEN 2
-    WHEN regexp_matches(cls, 'next|siguiente') THEN 3 END AS rank, i FROM elt WHERE tag = 'a'),
+_OWN = """own AS (SELECT k, anc[-1].j AS i, arg_min(s, i) AS own FROM txt WHERE len(anc) > 0 GROUP BY 1, 2),
+elo AS (SELECT e.*, coalesce(o.own, '') AS own FROM elt e LEFT JOIN own o ON o.k = e.k AND o.i = e.i)"""
+_SAYS_NEXT = "regexp_matches(own, 'Siguiente|siguiente|SIGUIENTE')"
+next_page = f"""{tree(SEARCH_PAGES)}, {_OWN}, found AS (SELECT k, href, CASE WHEN {_SAYS_NEXT} THEN 1 WHEN rel = 'next' THEN 2
+    WHEN regexp_matches(cls, 'next|siguiente') THEN 3 END AS rank, i FROM elo WHERE tag = 'a'),
 best AS (SELECT * FROM found WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY rank, i) = 1)
 SELECT src.k AS page, best.k IS NOT NULL AS has_next, best.href AS next_href FROM src LEFT JOIN best ON best.k = src.k"""
-next_page_buttons = f"""{tree(SEARCH_PAGES)}, found AS (SELECT k, href,
-    CASE WHEN tag = 'a' AND contains(tight, 'Siguiente') THEN 1 WHEN tag = 'button' AND contains(tight, 'Siguiente') THEN 2
-    WHEN contains(cls, 'next') THEN 3 END AS rank, i FROM elt),
+next_page_buttons = f"""{tree(SEARCH_PAGES)}, {_OWN}, found AS (SELECT k, href,
+    CASE WHEN tag = 'a' AND contains(own, 'Siguiente') THEN 1 WHEN tag = 'button' AND contains(own, 'Siguiente') THEN 2
+    WHEN contains(cls, 'next') THEN 3 END AS rank, i FROM elo),
 best AS (SELECT * FROM found WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY rank, i) = 1)
 SELECT src.k AS page, best.k IS NOT NULL AS has_next, best.href AS next_href FROM src LEFT JOIN best ON best.k = src.k"""
 

@@ -88,7 +88,7 @@ SEARCH_TAIL = (
     '<a href="/economia/fotos/1/">Galeria de fotos de la semana en economia</a>'
     '<a href="https://otro.example.org/politica/x/">Una nota ajena de politica nacional</a></div>'
 )
-SEARCH_NEXT = """case page % 4 when 0 then '' when 1 then '<a href="?page=n">Siguiente</a>'
+SEARCH_NEXT = """case page % 5 when 4 then '<a href="?page=s"><b>Siguiente</b></a>' when 0 then '' when 1 then '<a href="?page=n">Siguiente</a>'
     when 2 then '<a rel="next" href="?page=n">&gt;</a>' else '<button class="next">Siguiente</button>' end"""
 #: Every ninth page but one is empty of cards.
 SEARCH_HTML = f"""concat('{SEARCH_HEAD}', case when page % 9 = 8 then '' else cards end, '{SEARCH_TAIL}',
@@ -149,7 +149,7 @@ def articles(spark: SparkSession, sf: str, body: str = GLUED_TEXT) -> DataFrame:
 
 def listing(spark: SparkSession, sf: str) -> DataFrame:
     """Listing rows with repeated URLs, one of them very often."""
-    return documents(spark, sf).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("idx"),
         F.expr(article_url(f"({LISTING_KEY})")).alias("url"),
         F.expr(ARTICLE_COLUMNS["title"]).alias("title"),

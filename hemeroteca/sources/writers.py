@@ -75,8 +75,8 @@ def write_snapshots(rows: DataFrame, path: str, order: str = "idx", every: int =
     per snapshot.  Choose ``every`` so that a folder is worth a file.
     """
     numbered = rows.withColumn("snapshot", snapshot_no(order, every))
-    # Range partitioning keeps a snapshot's rows together and spreads snapshots evenly.
-    numbered.repartitionByRange("snapshot").write.mode("error").partitionBy("snapshot").options(
+    # A snapshot is of bounded size, so one task may write it, and into one file.
+    numbered.repartition("snapshot").write.mode("error").partitionBy("snapshot").options(
         **CSV_OPTIONS
     ).csv(path)
 

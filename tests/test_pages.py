@@ -93,13 +93,17 @@ def test_paging(spark):
         "<button>Siguiente</button>",
         '<span class="next">fin</span>',
         "<p>nada</p>",
+        '<a href="?p=8"><b>Siguiente</b></a>',
+        '<a href="?p=9"> <b>x</b> Siguiente</a>',
+        '<a href="?p=10"><b>x</b>Siguiente</a>',
     )
     links = {r.page: (r.has_next, r.next_href) for r in listing.next_page(pages, "page").collect()}
     assert links == {
         1: (True, "?p=2"), 2: (True, "?p=3"), 3: (True, "?p=4"), 4: (False, None), 5: (False, None), 6: (False, None),
+        7: (False, None), 8: (False, None), 9: (True, "?p=10"),
     }
     buttons = {r.page: r.has_next for r in listing.next_page(pages, "page", with_buttons=True).collect()}
-    assert buttons == {1: True, 2: False, 3: True, 4: True, 5: True, 6: False}
+    assert buttons == {1: True, 2: False, 3: True, 4: True, 5: True, 6: False, 7: False, 8: False, 9: True}
 
 
 def test_cut_at_the_first_empty_page(spark):
