@@ -23,18 +23,18 @@ def rows(df):
 
 
 CARD = (
-    '<div><a href="/economia/2025/11/25/uno/"><h2>La UIA presentó su informe anual</h2></a>'
+    '<div><a href="/economia/2025/11/25/uno/"><h2>La cámara presentó su informe anual</h2></a>'
     '<p class="deck">Resumen breve</p><time datetime="2025-11-25">25 Nov</time></div>'
 )
 
 
 def test_one_card(spark):
     (r,) = rows(listing.listing_rows(search(spark, CARD), "q"))
-    assert (r["title"], r["url"]) == ("La UIA presentó su informe anual", SITE + "/economia/2025/11/25/uno/")
+    assert (r["title"], r["url"]) == ("La cámara presentó su informe anual", SITE + "/economia/2025/11/25/uno/")
     assert (r["description"], r["date"], r["search_query"], r["page"]) == ("Resumen breve", "2025-11-25", "q", 1)
     assert isinstance(r["scraped_at"], datetime.datetime)
     (s,) = rows(listing.section_listing_rows(search(spark, CARD)))
-    assert (s["title"], s["date"], s["section"]) == ("La UIA presentó su informe anual", "2025-11-25", "economia")
+    assert (s["title"], s["date"], s["section"]) == ("La cámara presentó su informe anual", "2025-11-25", "economia")
 
 
 def test_dates_without_attribute_and_with_an_empty_one(spark):
@@ -149,9 +149,9 @@ def para(letter, n=31):
 
 
 def test_tight_and_spaced_text(spark):
-    html = "<article>" + "<p>El presidente<b>Javier Milei</b>habló ante la UIA hoy</p>" * 3 + "</article>"
-    assert one(article.article_v1(page(spark, html)))["body"].startswith("El presidenteJavier Mileihabló ante la UIA hoy\n\n")
-    assert one(article.article_v2(page(spark, html)))["body"].startswith("El presidente Javier Milei habló ante la UIA hoy\n\n")
+    html = "<article>" + "<p>El presidente<b>Javier Milei</b>habló ante la sala hoy</p>" * 3 + "</article>"
+    assert one(article.article_v1(page(spark, html)))["body"].startswith("El presidenteJavier Mileihabló ante la sala hoy\n\n")
+    assert one(article.article_v2(page(spark, html)))["body"].startswith("El presidente Javier Milei habló ante la sala hoy\n\n")
 
 
 def test_body_cascade(spark):
