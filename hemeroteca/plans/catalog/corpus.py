@@ -99,11 +99,11 @@ def year_histogram_any_text(spark, sf):
 
 
 @query(
-    """SELECT doc_id, 'https://www.example.com/buscador/?query=' || replace(url_encode(substring(text, 1, 50) || '*~'), '%20', '+')
+    """SELECT doc_id, 'https://www.example.com/buscador/?query=' || replace(url_encode(text || '*~'), '%20', '+')
     AS search_url FROM documents"""
 )
 def search_url(spark, sf):
-    term = F.concat(F.substring("text", 1, 50), F.lit("*~"))
+    term = F.concat("text", F.lit("*~"))
     return inputs.documents(spark, sf).select("doc_id", urls.search_url(term).alias("search_url"))
 
 
