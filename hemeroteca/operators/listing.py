@@ -68,8 +68,8 @@ def _candidates(
     ``url`` makes a URL of an href, ``keep`` tests it, ``facts`` reads the nodes inside a
     container.  ``first_of_url`` leaves
     one link per URL and page: the first of ``any`` links, or of those ``contained`` in
-    an enclosing element.  Facts are worked out once per distinct container, not once
-    per link, so a page that hangs all its links in one big element is walked once.
+    an enclosing element.  Facts are worked out once per link-bearing container, not
+    once per link, so a page that hangs all its links in one big element is walked once.
     """
     links = F.filter(
         F.transform(
@@ -77,10 +77,10 @@ def _candidates(
             # The field order makes array_sort sort by URL, then position.
             lambda n: F.struct(
                 url(n["href"]).alias("url"), n["pos"].alias("pos"), n["t0"].alias("t0"),
-                n["t1"].alias("t1"), n["ctr"].alias("ctr"),
+                n["t1"].alias("t1"), n["box"].alias("box"),
             ),
         ),
-        lambda c: keep(c["url"]) & ((c["ctr"] >= 0) if first_of_url == "contained" else F.lit(True)),
+        lambda c: keep(c["url"]) & (c["box"].isNotNull() if first_of_url == "contained" else F.lit(True)),
     )
     step = outlines.select(*keys, "texts", "nodes", links.alias("links"))
     if first_of_url is not None:
@@ -90,23 +90,26 @@ def _candidates(
             "links",
             F.filter("links", lambda c, i: (i == 0) | (c["url"] != F.get(F.col("links"), i - 1)["url"])),
         )
-    step = step.withColumn(
-        "ctrs", F.array_distinct(F.transform(F.filter("links", lambda c: c["ctr"] >= 0), lambda c: c["ctr"]))
+    # Boxes sorted by number, so that a link finds its facts by index.
+    boxes = F.array_sort(
+        F.transform(
+            F.filter("nodes", lambda n: n["box"].isNotNull() & (n["tag"] != "a")),
+            lambda n: F.struct(n["box"].alias("box"), n["pos"].alias("pos"), n["stop"].alias("stop")),
+        )
     )
 
-    def container_facts(k: Column) -> Column:
-        root = F.get(F.col("nodes"), k)
-        inner = F.slice(F.col("nodes"), k + 2, root["stop"] - k - 1)
+    def box_facts(box: Column) -> Column:
+        inner = F.slice(F.col("nodes"), box["pos"] + 2, box["stop"] - box["pos"] - 1)
         return F.get(F.transform(F.array(inner), facts), F.lit(0))
 
-    step = step.withColumn("facts", F.transform("ctrs", container_facts))
+    step = step.withColumn("facts", F.transform(boxes, box_facts))
     rows = F.transform(
         "links",
         lambda c: F.struct(
             c["pos"].alias("pos"),
             c["url"].alias("url"),
             ol.inner_text(c).alias("link_text"),
-            F.get(F.col("facts"), F.array_position(F.col("ctrs"), c["ctr"]).cast("int") - 1).alias("ctr"),
+            F.get(F.col("facts"), c["box"]).alias("ctr"),
         ),
     )
     return step.select(*keys, F.inline(rows))

@@ -6,7 +6,9 @@
 * ``nodes`` - the elements in document order, as nested sets: element ``pos``
   covers nodes ``pos+1 .. stop-1`` and texts ``t0 .. t1-1``; ``ctr`` is its nearest
   enclosing article, div or li (-1 if none); ``own`` is the text that comes first
-  among its direct children (-1 if that is blank, NULL if there is none).
+  among its direct children (-1 if that is blank, NULL if there is none).  Elements
+  that are the ``ctr`` of some link are numbered from 0 in ``box``; such a link
+  carries the same number.
 
 What counts as a title, a description or a paragraph is decided afterwards by
 Catalyst expressions over these arrays (``listing``, ``article``), page by page and
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 
 from hemeroteca.functions import fixed_values as fv
 
-_NUMBERS = ("pos", "stop", "t0", "t1", "ctr", "own")
+_NUMBERS = ("pos", "stop", "t0", "t1", "ctr", "own", "box")
 _ATTRS = ("cls", "href", "datetime", "itemprop", "rel")
 NODE = T.StructType(
     [T.StructField("tag", T.StringType())]
@@ -82,7 +84,7 @@ class _PageReader(HTMLParser):
         self.first_node, self.first_text = len(self.nodes["tag"]), len(self.texts)
         self.open: list[tuple[str, int, int]] = []  # tag, node position, container for children
         self.open_count: Counter[str] = Counter()
-        self.silent = 0
+        self.silent = self.boxes = 0
         self.pending: list[str] = []
 
     def _read_plain(self, page: str) -> bool:
@@ -209,11 +211,21 @@ class _PageReader(HTMLParser):
             n["stop"].append(None)
             n["t1"].append(None)
             n["own"].append(None)
+            n["box"].append(self._box_of(container) if tag == "a" and "href" in given else None)
         self.open.append((tag, pos, pos if tag in _ENCLOSING else container))
         self.open_count[tag] += 1
         if tag in _SILENT:
             self.silent += 1
 
+    def _box_of(self, container: int) -> int | None:
+        if container < 0:
+            return None
+        boxes, at = self.nodes["box"], self.first_node + container
+        if boxes[at] is None:
+            boxes[at] = self.boxes
+            self.boxes += 1
+        return boxes[at]
+
     def _pop(self) -> str:
         tag, pos, _ = self.open.pop()
         self.open_count[tag] -= 1
