@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,14 +36,22 @@ def local_session(cores: str | int = 8, app: str = "hemeroteca", **conf: str) ->
     return spark
 
 
+def apply(spark: SparkSession) -> SparkSession:
+    """Give any session the run-time settings that results depend on."""
+    for key, value in ENGINE_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-path of the folder all executors share.
+    """A fresh sub-path of the folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; a machine-local
-    folder is used only where the setting is missing (tests).
+    A session that runs in a single JVM has one disk, so there a temp folder will do.
+    Anywhere else a missing setting is an error, raised before any work.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="hemeroteca-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -164,6 +164,20 @@ def test_scratch_folder_follows_the_session(spark):
         assert first.startswith(base)
 
 
+class _Session:
+    """Only what ``scratch_path`` asks a session for."""
+
+    def __init__(self, **settings):
+        self.conf = settings
+
+
+def test_scratch_folder_needs_the_setting_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(_Session(**{"spark.master": "local-cluster[3,2,1000]"}), "x")
+    assert scratch_path(_Session(**{"spark.master": "local[2]"}), "x")
+    assert scratch_path(_Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "s3://b/c/"}), "x").startswith("s3://b/c/x-")
+
+
 def test_clean_and_report(spark):
     df = spark.createDataFrame(
         [
