@@ -39,11 +39,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 
 
 def with_columns(
-    df: DataFrame, read: str, made: dict[str, str], work: Callable[[pa.Array], dict[str, pa.Array]]
+    df: DataFrame,
+    read: str,
+    made: dict[str, str],
+    work: Callable[[pa.Array], dict[str, pa.Array]],
+    size_by: str | None = None,
 ) -> DataFrame:
     """Like ``withColumns``: ``work`` makes the columns ``made`` (name to DDL type) from the column ``read``.
 
-    A column of that name is replaced. ``work`` runs in the executors, once a slice.
+    A column of that name is replaced. ``work`` runs in the executors, once a slice, as cut
+    by the size of ``size_by`` (else of ``read``).
     """
     keep = [f for f in df.schema.fields if f.name not in made]
     new = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in made.items()))
@@ -52,7 +57,7 @@ def with_columns(
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, read):
+            for part in slices(batch, size_by or read):
                 out = work(part.column(read))
                 arrays = [part.column(c) for c in kept] + [out[c] for c in made]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + list(made))

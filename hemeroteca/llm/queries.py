@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemeroteca.llm import bpe, packing
+from hemeroteca.llm import bpe, line_dedup, line_rules, merkle, mil, near, packing, pii, sharding, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,109 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+SHARDS = [f"shard-{n:03d}" for n in range(128)]
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place every document, with all shards and with the last one withdrawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    placed = sharding.place(docs, "doc_id", SHARDS)
+    return sharding.place(placed, "doc_id", SHARDS[:-1], shard="shard_without_last")
+
+
+def _shard_sql(shards: list[str]) -> str:
+    digits = f"substr(md5(CAST(doc_id AS VARCHAR)), 1, {sharding.DIGITS})"
+    owners = sharding.fill_slots(shards)
+    return f"CAST(({owners})[1 + CAST(('0x' || {digits})::BIGINT % {sharding.SLOTS} AS INTEGER)] AS INTEGER)"
+
+
+ORACLES["op2_sharding"] = (
+    f"SELECT doc_id, {_shard_sql(SHARDS)} AS shard, {_shard_sql(SHARDS[:-1])} AS shard_without_last FROM documents"
+)
+
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's url; the list holds mobile mirrors, hosts ``m.x`` of which ``x`` has pages too."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(urls.host(F.col("url")).alias("key")).distinct()
+    main = hosts.select(F.concat(F.lit("m."), "key").alias("key"))
+    return urls.judge(pages, RULES, hosts.join(main, "key", "left_semi")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+def _rule_sql(rule: str) -> str:
+    host, _, path = rule.partition("/")
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}'))"
+
+
+_LONGEST_FIRST = sorted(RULES, key=lambda r: -len(r[1]))
+ORACLES["op9_urls"] = f"""
+    WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+    ruled AS (SELECT *, CASE {' '.join(f"WHEN {_rule_sql(r)} THEN '{r}'" for _, r in _LONGEST_FIRST)} END AS rule,
+        CASE {' '.join(f"WHEN {_rule_sql(r)} THEN '{v}'" for v, r in _LONGEST_FIRST)} END AS decided FROM parts)
+    SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN starts_with(host, 'm.')
+        AND substr(host, 3) IN (SELECT host FROM parts) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled"""
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every document's lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return line_rules.judge(docs, field).drop("text", "content_lines")
+
+
+#: A secret of the deployment; this one is for the test data.
+PSEUDONYM_KEY = b"pseudonyms of the test tables"
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms for personal data."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated chunks."""
+    return line_dedup.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document, and an edited copy of it."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = merkle.compare_with_edit(table(spark, sf_dir, "documents"), parts)
+    return made.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+
+
+@query
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document; a fifth of the documents, by a checksum of the id, is held out of learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    model = mil.fit(docs.where(~held_out), table(spark, sf_dir, "labels").where(~held_out))
+    return mil.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "top_passage"
+    )
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near.classes(table(spark, sf_dir, "documents"))
