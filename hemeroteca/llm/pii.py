@@ -93,14 +93,19 @@ def card(text: str, key: bytes) -> str | None:
 
 
 def phone(text: str, key: bytes) -> str | None:
-    """A number of the North American plan; area and office codes start with 2 to 9."""
+    """A number of the North American plan, where area and office codes start with 2 to 9.
+
+    One that is written out with its ``+1`` is a phone number even outside the plan; such ones stay outside it.
+    """
     digits = re.sub("[^0-9]", "", text)
     own = digits[-10:]
 
-    def valid(d: str) -> bool:
+    def planned(d: str) -> bool:
         return d[0] not in "01" and d[3] not in "01"
 
-    return refill(text, digits[:-10] + walk(own, valid, key, "phone")) if valid(own) else None
+    if not planned(own) and not text.startswith("+"):
+        return None
+    return refill(text, digits[:-10] + walk(own, lambda d: planned(d) == planned(own), key, "phone"))
 
 
 def world_phone(text: str, key: bytes) -> str | None:
