@@ -20,8 +20,12 @@ def first_seen(rows: DataFrame, key: str = "url", order: tuple[str, ...] = ("pag
 
 
 def resume_backlog(backlog: DataFrame, done: DataFrame, key: str = "url") -> DataFrame:
-    """Rows whose key is not finished yet."""
-    return backlog.join(done.select(key), key, "left_anti")
+    """Rows whose key is not finished yet.
+
+    The finished keys are made distinct first: a left anti join cannot be split on its right side, and a key
+    finished very often would meet in one task.
+    """
+    return backlog.join(done.select(key).distinct(), key, "left_anti")
 
 
 def append_rows(*parts: DataFrame) -> DataFrame:

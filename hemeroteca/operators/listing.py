@@ -210,7 +210,7 @@ def in_page_range(pages: DataFrame, first_page: int, last_page: int, page: str =
     return pages.where(F.col(page).between(first_page, last_page))
 
 
-def take_target(rows: DataFrame, n: int = fv.TARGET_ARTICLES) -> DataFrame:
+def take_target(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows in crawl order (the collection target)."""
     return rows.orderBy("page", "pos").limit(n)
 

@@ -206,10 +206,10 @@ def numbering_within_url(spark, sf):
 
 @query(
     f"""SELECT idx, url, page FROM (SELECT * FROM {LISTING_SQL}
-    QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, pos) = 1) ORDER BY page, pos LIMIT 2000"""
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, pos) = 1) ORDER BY page, pos LIMIT 75"""
 )
 def article_limit(spark, sf):
-    return listing.take_target(dedupe.first_seen(inputs.listing(spark, sf))).select("idx", "url", "page")
+    return listing.take_target(dedupe.first_seen(inputs.listing(spark, sf)), 75).select("idx", "url", "page")
 
 
 @query(f"SELECT DISTINCT url FROM {LISTING_SQL}")

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import article, cleaning, dedupe, listing, quality
 from hemeroteca.operators.outline import outline
+from hemeroteca.operators.prefilter import KeyFilter
 from hemeroteca.sources.writers import materialise
 
-#: A URL set up to this many bytes is sent to every executor; a larger one is shuffled.
-SMALL_URL_SET = 64 * 1024 * 1024
-
 
 def harvest_listing(
     search_pages: DataFrame,
@@ -46,15 +43,13 @@ def harvest_listing(
 def extract_listed(listed: DataFrame, pages: DataFrame, extract) -> DataFrame:
     """Extract the pages whose URL is listed, without ever shuffling their HTML.
 
-    A URL set of proven small size is broadcast, so HTML is filtered where it lies.
-    Beyond that size every page is extracted in place and the far smaller records
-    are joined with the URLs.  The set is stored first: it is measured, then used.
+    A Bloom filter of bounded size drops pages where they lie, before their HTML
+    reaches Python; the few strangers that pass cost a parse, and the exact semi join
+    on the far smaller records drops them.  The URL set is stored first.
     """
     urls = materialise(listed.select("url").distinct(), "urls")
-    size = urls.agg(F.sum(F.octet_length("url") + 16)).first()[0] or 0
-    pages = pages.select("url", "html")
-    if size <= SMALL_URL_SET:
-        return extract(outline(pages.join(F.broadcast(urls), "url", "left_semi")))
+    known = KeyFilter(urls, "url")
+    pages = pages.select("url", "html").where(known.may_hold(F.col("url")))
     return extract(outline(pages)).join(urls, "url", "left_semi")
 
 
@@ -77,10 +72,13 @@ def reextract(
 def harvest_enriched(
     search_pages: DataFrame,
     pages: DataFrame,
-    target: int | None = fv.TARGET_ARTICLES,
+    target: int | None = None,
     scraped_at: Column | None = None,
 ) -> DataFrame:
-    """Both stages, third form: section listing, extraction, and the listing's own fields."""
+    """Both stages, third form: section listing, extraction, and the listing's own fields.
+
+    ``target`` stops after so many listing rows, in crawl order.
+    """
     rows = listing.section_listing_rows(outline(search_pages))
     if target is not None:
         rows = listing.take_target(rows, target)
@@ -89,11 +87,19 @@ def harvest_enriched(
     return article.with_body(article.enrich(rows, extracted))
 
 
-def clean_and_report(articles: DataFrame, *sections: str, profile: str = "final") -> dict[str, DataFrame]:
-    """Filter by section, clean once, store, and count over what was stored."""
-    cleaned = materialise(
-        cleaning.clean_articles(cleaning.keep_sections(articles, *sections), profile), "cleaned"
-    )
+def clean_and_report(
+    articles: DataFrame, *sections: str, profile: str = "final", out: str | None = None
+) -> dict[str, DataFrame]:
+    """Filter by section, clean once, store, and count over what was stored.
+
+    ``out`` is where the cleaned articles go; without it they lie in the scratch folder.
+    """
+    cleaned = cleaning.clean_articles(cleaning.keep_sections(articles, *sections), profile)
+    if out is None:
+        cleaned = materialise(cleaned, "cleaned")
+    else:
+        cleaned.write.parquet(out)
+        cleaned = articles.sparkSession.read.schema(cleaned.schema).parquet(out)
     keyed = cleaning.with_section(cleaned)
     return {
         "articles": cleaned,

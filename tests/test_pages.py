@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hemeroteca.functions import fixed_values as fv
-from hemeroteca.operators import article, listing
+from hemeroteca.operators import article, listing, prefilter
 from hemeroteca.operators.outline import outline
 from hemeroteca.plans import workflows
 
@@ -232,13 +232,36 @@ def test_enrichment_prefers_the_listing(spark):
     assert (got["title"], got["date"], got["section"]) == ("T", "", "")
 
 
-def test_large_url_sets_take_the_other_way(spark, monkeypatch):
+def test_listed_pages_alone_are_extracted(spark, monkeypatch):
     pages = spark.createDataFrame(
         [(f"https://h/{i}", f"<article><p>{para('x', 40)}</p></article>") for i in range(20)], "url string, html string"
     )
     listed = pages.select("url").limit(7)
     small = workflows.harvest_articles(listed, pages).drop("scraped_at")
-    monkeypatch.setattr(workflows, "SMALL_URL_SET", 0)
-    large = workflows.harvest_articles(listed, pages).drop("scraped_at")
-    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == 7
+    monkeypatch.setattr(prefilter.KeyFilter, "may_hold", lambda self, key: key.isNotNull())
+    full = workflows.harvest_articles(listed, pages).drop("scraped_at")  # as with a filter that lets all through
+    assert small.exceptAll(full).count() == 0 and small.count() == full.count() == 7
+    monkeypatch.undo()
     assert workflows.reextract(listed, pages, done=listed.limit(2)).count() == 5
+
+
+def test_html_is_filtered_before_python_and_never_shuffled(spark, sf):
+    from hemeroteca.plans.catalog import QUERIES
+
+    for name in ("harvest_articles", "reextracted_articles", "enriched_articles"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("MapInArrow") :]
+        assert "getbit" in below.lower() or "bit_get" in below.lower() or "0x" in below
+        physical = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        depth = [(len(line) - len(line.lstrip(" :+-")), line) for line in physical.splitlines()]
+        first = next(i for i, (_, line) in enumerate(depth) if "MapInArrow" in line)
+        assert not any("Exchange hashpartitioning(url" in line for _, line in depth[first + 1 :] if "html" in line)
+
+
+def test_key_filter_loses_no_key(spark):
+    keys = spark.range(20_000).selectExpr("concat('https://h/', id) AS url")
+    known = prefilter.KeyFilter(keys, "url")
+    assert keys.where(~known.may_hold(F.col("url"))).isEmpty()
+    strangers = spark.range(20_000).selectExpr("concat('https://k/', id) AS url")
+    assert strangers.where(known.may_hold(F.col("url"))).count() < 400
+    assert keys.where(prefilter.KeyFilter(keys.limit(0), "url").may_hold(F.col("url"))).isEmpty()
