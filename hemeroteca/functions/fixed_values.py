@@ -4,6 +4,8 @@ Everything in this file is data that results depend on: word lists, patterns,
 replacement tables, thresholds and site defaults.  No logic lives here.
 """
 
+import sys
+
 # --- site defaults -----------------------------------------------------------
 SITE = "https://www.example.com"
 SEARCH_URL = SITE + "/buscador/"
@@ -46,8 +48,15 @@ WS_SPELT_OUT = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
-# Characters that count as a digit: decimal digits plus raised, lowered and circled ones.
-DIGIT = r"[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}]"
+def _digit_class() -> str:
+    """Characters of the Unicode digit type: decimal ones, and raised, lowered, circled, bracketed ones."""
+    points = [c for c in range(sys.maxunicode + 1) if chr(c).isdigit()]
+    starts = [c for c, before in zip(points, [-2, *points], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -2], strict=True) if after != c + 1]
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
+DIGIT = _digit_class()
 
 # --- URL patterns ------------------------------------------------------------
 URL_DATE = r"/(\p{Nd}{4}/\p{Nd}{2}/\p{Nd}{2})/"

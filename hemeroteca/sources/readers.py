@@ -23,10 +23,24 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
     An array file cannot be split, so one file is one task; a corpus of many files
     still spreads.  Land big arrays once with ``write_records`` and read those.
+    A file that is no such array fails the query; see ``split_json_arrays``.
     """
-    texts = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    records = F.from_json("value", T.ArrayType(schema))
-    return texts.select("file", F.posexplode(records).alias("idx", "r")).select(
+    records = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    return _elements(_whole_files(spark, path).withColumn("records", records))
+
+
+def split_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The records of the files that can be read, as ``read_json_array`` gives them, and the ``file`` of each other one."""
+    parsed = _whole_files(spark, path).withColumn("records", F.from_json("value", T.ArrayType(schema)))
+    return _elements(parsed), parsed.where("records is null").select("file")
+
+
+def _whole_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _elements(parsed: DataFrame) -> DataFrame:
+    return parsed.select("file", F.posexplode("records").alias("idx", "r")).select(
         "file", F.col("idx").cast("long").alias("idx"), "r.*"
     )
 
@@ -59,17 +73,29 @@ def json_names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON record per line: splittable, the form ``write_records`` writes."""
-    return spark.read.schema(schema).json(path)
+    """One JSON record per line: splittable, the form ``write_records`` writes.
+
+    A line that is no record fails the query; see ``split_records``.
+    """
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
+
+
+def split_records(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The records that can be read, and the text (``line``) of each other line."""
+    lines = spark.read.text(path).where("trim(value) != ''")
+    kept = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    parsed = lines.select(F.from_json("value", kept, {"columnNameOfCorruptRecord": "_line"}).alias("r")).select("r.*")
+    bad = F.col("_line").isNotNull()
+    return parsed.where(~bad).drop("_line"), parsed.where(bad).select(F.col("_line").alias("line"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV as ``write_csv`` writes it.
 
     Bodies hold line breaks, so a file is read whole by one task; the writer's many
-    part files keep that parallel.
+    part files keep that parallel.  A row that does not fit the schema fails the query.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(path, mode="FAILFAST")
 
 
 def read_checkpoint(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -79,20 +105,25 @@ def read_checkpoint(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     its text in no output: resuming then starts from nothing.
     """
     empty = spark.createDataFrame([], schema)
-    if _exists(spark, path):
+    if exists(spark, path):
         empty = spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
     mark = "page" if "page" in schema.names else "last_index"
     return empty.select(F.col(mark).alias(f"checkpoint_{mark}"), F.inline("articles"))
 
 
 def read_finished(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The append-only output of earlier runs, one row per URL; no rows where it does not exist yet."""
-    if not _exists(spark, path):
+    """The append-only output of earlier runs, one row per URL; no rows where it does not exist yet.
+
+    The earliest row counts.  All rows of a run may bear one time, so a hash of the whole
+    row, then the row, decides between them: the same one at every read.
+    """
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return first_seen(spark.read.schema(schema).parquet(path), "url", ("scraped_at",))
+    rows = spark.read.schema(schema).parquet(path).withColumn("_row", F.to_json(F.struct("*")))
+    return first_seen(rows.withColumn("_tie", F.xxhash64("_row")), "url", ("scraped_at", "_tie", "_row")).drop("_row", "_tie")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

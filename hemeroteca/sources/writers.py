@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hemeroteca.functions import fixed_values as fv
 from hemeroteca.session import scratch_path
 from hemeroteca.sources.readers import CSV_OPTIONS, json_names
 
@@ -25,7 +27,8 @@ def write_csv(
     """
     if skip_empty and rows.isEmpty():
         return False
-    out = rows.select(*(columns or rows.columns))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    out = rows.select(*[as_csv_text(c, kinds[c]) for c in columns or rows.columns])
     # Empty text is written as nothing, not as a quoted blank.
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return True
@@ -35,9 +38,9 @@ def json_to_csv(spark: SparkSession, json_path: str, csv_path: str | None = None
     """JSON records to CSV under the sorted union of their keys.
 
     Returns (csv path, records, columns), or None for an input without records.
-    The records are counted by the job that writes them.
+    The records are counted by the job that writes them.  Broken input raises.
     """
-    rows = spark.read.json(json_path, multiLine=multi_line)
+    rows = spark.read.json(json_path, multiLine=multi_line, mode="FAILFAST")
     if not rows.columns or rows.isEmpty():
         return None
     if csv_path is None:
@@ -47,12 +50,51 @@ def json_to_csv(spark: SparkSession, json_path: str, csv_path: str | None = None
     return csv_path, seen.get["n"], len(rows.columns)
 
 
-def json_folder_to_csv(spark: SparkSession, folder: str, multi_line: bool = True) -> list:
-    """``json_to_csv`` for every JSON file of a folder that is not a checkpoint."""
-    return [
-        json_to_csv(spark, f"{folder.rstrip('/')}/{name}", multi_line=multi_line)
-        for name in json_names(spark, folder)
-    ]
+def json_folder_to_csv(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, tuple | None | Exception]:
+    """``json_to_csv`` for every JSON file of a folder that is not a checkpoint.
+
+    By file name: what ``json_to_csv`` returns, or the error that stopped this one file.
+    """
+    out: dict[str, tuple | None | Exception] = {}
+    for name in json_names(spark, folder):
+        try:
+            out[name] = json_to_csv(spark, f"{folder.rstrip('/')}/{name}", multi_line=multi_line)
+        except (PySparkException, Py4JJavaError) as failure:  # the inference reports a broken line in the JVM's way
+            out[name] = failure
+    return out
+
+
+def as_csv_text(name: str, kind: T.DataType) -> Column:
+    """A column as CSV can hold it: a list as ``['a', 'b']``, the way the published reports have it."""
+    if isinstance(kind, T.ArrayType):
+        return listed_text(F.col(f"`{name}`"), kind.elementType).alias(name)
+    if isinstance(kind, T.StructType | T.MapType):
+        return F.to_json(F.col(f"`{name}`")).alias(name)
+    return F.col(f"`{name}`")
+
+
+def listed_text(values: Column, kind: T.DataType) -> Column:
+    """Python's text of a list: quoted strings, ``True``, ``None``; records inside are JSON."""
+
+    def element(v: Column) -> Column:
+        if isinstance(kind, T.StringType):
+            plain = F.replace(v, F.lit("\\"), F.lit("\\\\"))
+            for bad, spelled in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+                plain = F.replace(plain, F.lit(bad), F.lit(spelled))
+            double = F.contains(v, F.lit("'")) & ~F.contains(v, F.lit('"'))
+            single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+            text = F.when(double, F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
+        elif isinstance(kind, T.ArrayType):
+            text = listed_text(v, kind.elementType)
+        elif isinstance(kind, T.StructType | T.MapType):
+            text = F.to_json(v)
+        elif isinstance(kind, T.BooleanType):
+            text = F.initcap(v.cast("string"))
+        else:
+            text = v.cast("string")
+        return F.coalesce(text, F.lit("None"))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(values, element), ", "), F.lit("]"))
 
 
 def write_report(issues: DataFrame, path: str) -> bool:
@@ -63,12 +105,12 @@ def write_report(issues: DataFrame, path: str) -> bool:
     return True
 
 
-def snapshot_no(order: str = "idx", every: int = fv.BODIES_PER_SNAPSHOT):
+def snapshot_no(order: str, every: int):
     """1-based number of the snapshot a row first appears in."""
     return (F.expr(f"`{order}` div {every}") + 1).cast("int")
 
 
-def write_snapshots(rows: DataFrame, path: str, order: str = "idx", every: int = fv.BODIES_PER_SNAPSHOT) -> None:
+def write_snapshots(rows: DataFrame, path: str, every: int, order: str = "idx") -> None:
     """Rows in folders ``snapshot=1, 2, ...`` of ``every`` rows each.
 
     A snapshot is all folders up to its number, so each row is written once, not once

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hemeroteca.functions import fixed_values as fv
-from hemeroteca.operators import article, outline, quality
-
+from hemeroteca.operators import article, dedupe, outline, quality
+from hemeroteca.sources.readers import exists
 
+#: How long a URL is remembered, by default.
+HORIZON = "30 days"
 #: Keeps the state of long harvests on executor disks instead of the JVM heap.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,20 +56,23 @@ def watch_progress(
     checkpoint: str,
     every: str | None = "5 seconds",
     target: int = fv.TARGET_ARTICLES,
+    clock: Callable[[], float] = time.time,
 ) -> StreamingQuery:
-    """Keep ``out`` at the latest progress row.
+    """Add a progress row to ``out`` at each tick; ``latest_progress`` reads the newest.
 
-    Elapsed time runs from the query's first tick and does not wrap at a day.
+    Elapsed time runs from the first start over this checkpoint, also after a restart, and
+    does not wrap at a day.  ``clock`` gives the seconds now.
     """
-    import time
-
-    started = time.time()
+    spark = listing.sparkSession
+    noted = f"{checkpoint.rstrip('/')}-started"
+    if not exists(spark, noted):
+        spark.range(1).select(F.lit(clock()).cast("double").alias("started")).write.mode("overwrite").parquet(noted)
+    started = spark.read.parquet(noted).first()["started"]
 
     def tick(counts: DataFrame, batch_id: int) -> None:
-        elapsed = F.lit(int(time.time() - started))
-        as_progress(counts, elapsed, target).withColumn("tick", F.lit(batch_id)).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(out)
+        elapsed = F.lit(int(clock() - started))
+        # A replayed tick replaces its own folder only, so there is always a finished one to read.
+        as_progress(counts, elapsed, target).coalesce(1).write.mode("overwrite").parquet(f"{out}/tick={batch_id}")
 
     writer = phase_counts(listing, articles).writeStream.outputMode("complete").foreachBatch(tick)
     return _start(writer, checkpoint, every)
@@ -79,19 +85,20 @@ def _drop_repeats(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Re
 
 
 def first_seen_stream(
-    rows: DataFrame, horizon: str | None = None, event_time: str = "scraped_at", thin: bool = True
+    rows: DataFrame, horizon: str | None = HORIZON, event_time: str = "scraped_at", thin: bool = True
 ) -> DataFrame:
-    """One row per URL across all arrivals.
+    """One row per URL across all arrivals, any one of a URL's rows; ``first_seen_batches`` keeps the first.
 
-    Without a horizon every URL ever seen stays in state.  With one, state is dropped
-    behind the watermark: a repeat arriving later passes again, and a row older than
-    the watermark is lost, so choose it longer than the harvest's re-listing gap and
-    let the batch ``first_seen`` settle the stored table.
+    State lies on executor disks and is dropped behind the horizon's watermark: a repeat
+    arriving later passes again, and a row older than the watermark is lost, so choose it
+    longer than the harvest's re-listing gap and let the batch ``first_seen`` settle the
+    stored table.  Without a horizon (None) every URL ever seen stays in state.
 
     Streaming dedupe has no map-side half of its own, so a URL that fills a third of a
     batch would meet in one task.  ``thin`` drops repeats within each Arrow batch
     before the shuffle; what is left is exact all the same.
     """
+    use_disk_state(rows.sparkSession)
     if horizon is not None:
         rows = rows.withWatermark(event_time, horizon)
     if thin:
@@ -99,6 +106,25 @@ def first_seen_stream(
     return rows.dropDuplicates(["url"]) if horizon is None else rows.dropDuplicatesWithinWatermark(["url"])
 
 
+def first_seen_batches(
+    rows: DataFrame, out: str, checkpoint: str, every: str | None = "5 seconds", order: tuple[str, ...] = ("page", "pos")
+) -> StreamingQuery:
+    """Store each micro-batch's first row per URL; ``settled`` reads the first one over all of them.
+
+    Nothing is kept in state, so any row may turn out to be the first, however late it comes.
+    """
+
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        dedupe.first_seen(batch, "url", order).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return _start(rows.writeStream.foreachBatch(tick), checkpoint, every)
+
+
+def settled(spark: SparkSession, out: str, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
+    """One row per URL, the first in ``order``; rows that tie in it are told apart by batch."""
+    return dedupe.first_seen(spark.read.parquet(out), "url", (*order, "batch_id")).drop("batch_id")
+
+
 def append_stream(rows: DataFrame, out: str, checkpoint: str, every: str | None = "5 seconds") -> StreamingQuery:
     """Append to a parquet folder, exactly once; restart with the same checkpoint to resume."""
     return _start(rows.writeStream.format("parquet").option("path", out), checkpoint, every)
@@ -124,5 +150,11 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def latest_progress(spark: SparkSession, out: str) -> DataFrame:
+    """The newest finished progress row, with its ``tick``."""
+    rows = spark.read.parquet(out)
+    return rows.where(F.col("tick") == rows.agg(F.max("tick")).scalar())
+
+
 def latest(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out)

@@ -106,7 +106,8 @@ def test_folder_to_csv(spark, tmp_path):
         dump(tmp_path / name, RAGGED)
     dump(tmp_path / "zero.json", [])
     got = writers.json_folder_to_csv(spark, str(tmp_path))
-    assert [r and (os.path.basename(r[0]), r[1], r[2]) for r in got] == [("one.csv", 2, 5), ("two.csv", 2, 5), None]
+    assert list(got) == ["one.json", "two.json", "zero.json"]
+    assert [r and (os.path.basename(r[0]), r[1], r[2]) for r in got.values()] == [("one.csv", 2, 5), ("two.csv", 2, 5), None]
     assert not writers.write_csv(spark.createDataFrame([], "a int"), str(tmp_path / "none"), skip_empty=True)
     assert not os.path.exists(tmp_path / "none")
 
@@ -123,7 +124,7 @@ def test_report_only_when_there_are_issues(spark, tmp_path):
 
 def test_snapshots(spark, tmp_path):
     rows = spark.range(450).selectExpr("id as idx", "concat('b', id) as body")
-    writers.write_snapshots(rows, str(tmp_path / "s"))
+    writers.write_snapshots(rows, str(tmp_path / "s"), 200)
     folders = sorted(n for n in os.listdir(tmp_path / "s") if n.startswith("snapshot="))
     assert folders == ["snapshot=1", "snapshot=2", "snapshot=3"]
     schema = T.StructType(list(rows.schema.fields) + [T.StructField("snapshot", T.IntegerType())])
@@ -192,3 +193,42 @@ def test_clean_and_report(spark):
     assert {r.idx: r.body for r in out["articles"].collect()} == {0: "empresa Privada", 1: "b", 3: "d"}
     assert [(r.section, r.n) for r in out["sections"].collect()] == [("politica", 2), ("economia", 1)]
     assert [(r.year, r.n) for r in out["years"].collect()] == [("2024", 1), ("2023", 1)]
+
+
+def test_broken_input_is_an_error_unless_asked_for(spark, tmp_path):
+    schema = T.StructType.fromDDL("a int, b string")
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "x.json").write_text('{"a": 1, "b": "x"}\n{"a": 2, "b": \n\n{"a": 3}\n')
+    lines = str(tmp_path / "lines")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_records(spark, lines, schema).collect()
+    rows, rejects = readers.split_records(spark, lines, schema)
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "x"), (3, None)]
+    assert [r.line for r in rejects.collect()] == ['{"a": 2, "b": ']
+    (tmp_path / "arrays").mkdir()
+    (tmp_path / "arrays" / "good.json").write_text('[{"a": 1, "b": "x"}]')
+    (tmp_path / "arrays" / "bad.json").write_text('[{"a": 2, "b": "y"}, {"a": 3, ')
+    arrays = str(tmp_path / "arrays")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        readers.read_json_array(spark, arrays, schema).collect()
+    rows, rejects = readers.split_json_arrays(spark, arrays, schema)
+    assert [(r.idx, r.a) for r in rows.collect()] == [(0, 1)]
+    assert [os.path.basename(r.file) for r in rejects.collect()] == ["bad.json"]
+    (tmp_path / "bad.csv").write_text("a,b\n1,x\ntwo,y\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
+
+
+def test_lists_in_csv_read_like_published_reports(spark):
+    words = [["aB", "cD"], ["it's", 'say "x"', "both ' and \""], [], None, ["a\\b\nc", None]]
+    rows = spark.createDataFrame([(w, [1, 2]) for w in words], "w array<string>, n array<int>")
+    got = [r[0] for r in rows.select(writers.as_csv_text("w", rows.schema["w"].dataType)).collect()]
+    assert got == [None if w is None else str(w) for w in words]
+    assert rows.select(writers.as_csv_text("n", rows.schema["n"].dataType)).first()[0] == "[1, 2]"
+
+
+def test_a_run_with_one_url_twice_reads_back_the_same_row(spark, tmp_path):
+    schema = T.StructType.fromDDL("url string, scraped_at int, body string")
+    writers.append_finished(spark.createDataFrame([("u", 1, f"b{i}") for i in range(50)], schema).repartition(7), str(tmp_path / "f"))
+    found = {readers.read_finished(spark, str(tmp_path / "f"), schema).repartition(n).first().body for n in range(1, 6)}
+    assert len(found) == 1

@@ -40,7 +40,7 @@ def test_progress_over_ticks(spark, places):
     harvest.run_to_end(
         harvest.watch_progress(listing_stream(spark, places), articles, places["out"], places["state"], every=None, target=50)
     )
-    (r,) = harvest.latest(spark, places["out"]).collect()
+    (r,) = harvest.latest_progress(spark, places["out"]).collect()
     assert (r.n_listing, r.n_articles, r.max_page, r.pct_listing) == (41, 10, 9, 82.0)
     assert r.tick == 1, "two files of listing rows make two ticks"
 

@@ -157,3 +157,12 @@ def test_metadata_like(spark):
     plain = [t.count(",") <= 1 and len(t) < 50 and any(c.isdigit() for c in t) for t in texts]
     assert column(spark, texts, tx.metadata_like) == plain
     assert column(spark, [None, "abc"], lambda c: tx.preview(c, 2, "N/A")) == ["N/A", "ab"]
+
+
+def test_digit_class_holds_what_python_calls_digits(spark):
+    import sys
+
+    points = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    rows = spark.createDataFrame([(c, chr(c)) for c in points if c < 0x20000 or chr(c).isdigit()], "c int, s string")
+    got = {r.c for r in rows.where(F.col("s").rlike(f"^{fv.DIGIT}$")).select("c").collect()}
+    assert got == {c for c in points if chr(c).isdigit()}
