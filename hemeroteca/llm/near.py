@@ -6,9 +6,12 @@ ones of the parts', and equal registers are about as frequent as two sets are al
 candidates; the likelihood of all registers of a pair, given the two set sizes, drops hopeless ones; what is left
 is confirmed on the full sets.
 
-Copies are folded into one representative before bands are made. In a bucket all members are first tried against
-the smallest one, then only those that stayed apart from it against the members of other components: a bucket of
-true near copies costs its size, not its square, and no pair that could join two components goes untried.
+Copies are folded into one representative before bands are made. In a bucket every member is tried against the
+smallest one, so a bucket of near copies costs its size, not its square. Those that stay apart may still be alike
+to other members. Two sets that are 75 % alike share one of their rarest shingles, so the nodes of such buckets
+are ordered by those: first all that share a rare shingle are tried against the one in which it stands earliest,
+then what is still apart against whatever it shares a rare shingle with. No pair that could join two components
+goes untried.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemeroteca.llm.batches import slices
@@ -176,6 +179,60 @@ def _labels(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _prefixes(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, n, token, at): each chosen node's rarest shingles and their places, rarest first in an order that all share.
+
+    Only shingles of several chosen nodes are listed, and only as far as one of them could be the first that two
+    linked sets share.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [shingles(t) for t in part.column("text").to_pylist()]
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                values = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+                yield pa.RecordBatch.from_arrays([part.column("node"), lists], names=["node", "tokens"])
+
+    sets = texts.join(chosen, "node", "left_semi").mapInArrow(run, "node long, tokens array<long>")
+    tokens = materialise(sets, "tokens").select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    often = materialise(tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    listed = tokens.join(often, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("own"))
+    alone = F.col("n") - F.size("own")  # shingles of no other node come before all others
+    reach = F.greatest(F.floor(F.col("n") * (ALIKE[1] - ALIKE[0]) / ALIKE[1]) + 1 - alone, F.lit(0)).cast("int")
+    placed = listed.select("node", "n", alone.alias("alone"), F.posexplode(F.slice("own", F.lit(1), reach)).alias("i", "own"))
+    return placed.select("node", "n", F.col("own.token").alias("token"), (F.col("alone") + F.col("i")).alias("at"))
+
+
+def _meetings(prefixes: DataFrame, labels: DataFrame, apart: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes in different components, one of them in ``apart``, whose first common shingle stands
+    early enough in both for the sets to be alike."""
+    t, both = ALIKE[0], ALIKE[0] + ALIKE[1]
+    known = _labelled(prefixes, labels, "node", "label")
+
+    def kind(n: Column) -> Column:  # sizes within 5 % or so
+        return F.floor(F.log(n.cast("double")) / math.log(1.05))
+
+    # With x's remaining shingles all common, y can have this many at most.
+    most = F.floor((F.col("n") - F.col("at")) * both / t) - F.col("n")
+    least = F.ceil(F.col("n") * t / ALIKE[1])
+    x = known.join(apart, "node", "left_semi").where(most >= least)
+    x = x.select(*[F.col(c).alias(f"x_{c}") for c in ("node", "n", "at", "label")], "token", F.explode(F.sequence(kind(least), kind(most))).alias("kind"))
+    y = known.withColumn("kind", kind(F.col("n")))
+    need = t * (F.col("n") + F.col("x_n"))
+    early = (both * (F.col("n") - F.col("at")) >= need) & (both * (F.col("x_n") - F.col("x_at")) >= need)
+    met = x.join(y, ["token", "kind"]).where(early & (F.col("label") != F.col("x_label")))
+    return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
+    """Add the component of ``node``, which is its own one if it isn't linked."""
+    known = labels.select(F.col("node").alias("_known"), F.col("label").alias("_label"))
+    joined = rows.join(known, F.col(node) == F.col("_known"), "left")
+    return joined.withColumn(label, F.coalesce("_label", node)).drop("_known", "_label")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document row: the key, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -210,28 +267,31 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         "texts",
     )
 
-    spokes = members.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_confirmed(_likely(spokes, nodes, alike), texts), "spokes")
-    labels = _labels(links)
+    def confirmed(pairs: DataFrame, purpose: str) -> DataFrame:
+        return materialise(_confirmed(_likely(pairs, nodes, alike), texts), purpose)
 
-    # Members that stayed apart from their bucket's smallest one: against all members of other components.
-    def labelled(rows: DataFrame, node: str, label: str) -> DataFrame:
-        known = labels.select(F.col("node").alias(node), F.col("label").alias(label))
-        return rows.join(known, node, "left").withColumn(label, F.coalesce(label, node))
+    def apart_from_hub(labels: DataFrame) -> DataFrame:
+        placed = _labelled(_labelled(members, labels, "node", "label"), labels, "hub", "hub_label")
+        return placed.where("label != hub_label")
 
-    placed = materialise(labelled(labelled(members, "node", "label"), "hub", "hub_label"), "placed")
-    apart = placed.where("label != hub_label").select("bucket", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    apart = materialise(apart, "apart")
+    spokes = members.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = confirmed(spokes, "spokes")
+    labels = _labels(links)
+    apart = materialise(apart_from_hub(labels).select("bucket", "node"), "apart")
     if not apart.isEmpty():
-        met = placed.join(apart, "bucket").where("label != x_label and node != hub")
-        crossing = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        more = materialise(_confirmed(_likely(crossing, nodes, alike), texts), "crossings")
+        chosen = materialise(members.join(apart.select("bucket").distinct(), "bucket", "left_semi").select("node").distinct(), "chosen")
+        prefixes = materialise(_prefixes(texts, chosen), "prefixes")
+        heads = materialise(prefixes.groupBy("token").agg(F.min(F.struct("at", "node")).alias("head")), "heads")
+        rays = prefixes.join(heads, "token").select(F.col("head.node").alias("head"), "node").where("head != node")
+        rays = rays.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
+        links = links.union(confirmed(rays, "rays"))
+        labels = _labels(links)
+        apart = materialise(apart_from_hub(labels).select("node").distinct(), "apart")
+        more = confirmed(_meetings(prefixes, labels, apart), "meetings")
         if not more.isEmpty():
-            links = links.union(more)
-            labels = _labels(links)
+            labels = _labels(links.union(more))
 
-    named = least.join(labels.withColumnRenamed("node", "reached"), F.col("node") == F.col("reached"), "left")
-    named = materialise(named.select("digest", F.coalesce("label", "node").alias("component_id")), "components")
+    named = materialise(_labelled(least, labels, "node", "component_id").select("digest", "component_id"), "components")
     component = F.coalesce("component_id", "doc_id")
     return sketched.join(named, "digest", "left").select(
         F.col("doc_id").alias(key), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
