@@ -44,13 +44,14 @@ def with_columns(
     made: dict[str, str],
     work: Callable[[pa.Array], dict[str, pa.Array]],
     size_by: str | None = None,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """Like ``withColumns``: ``work`` makes the columns ``made`` (name to DDL type) from the column ``read``.
 
     A column of that name is replaced. ``work`` runs in the executors, once a slice, as cut
-    by the size of ``size_by`` (else of ``read``).
+    by the size of ``size_by`` (else of ``read``). Columns in ``drop`` are read and left out.
     """
-    keep = [f for f in df.schema.fields if f.name not in made]
+    keep = [f for f in df.schema.fields if f.name not in made and f.name not in drop]
     new = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in made.items()))
     schema = T.StructType(keep + new.fields)
     kept = [f.name for f in keep]

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from hemeroteca.llm.batches import with_columns
 
-#: Fragments that a worker remembers in each of two generations.
-REMEMBERED = 400_000
+#: Fragments that a worker remembers in each of two generations: about 40 MB in each.
+REMEMBERED = 150_000
 
 # The classes of the characters up to U+017F, and the published split patterns over them.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -73,7 +73,7 @@ class Memory:
 class FragmentEncoder:
     """What both kinds of vocabulary share: a model that is asked once for each fragment."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -81,7 +81,7 @@ class FragmentEncoder:
         with open(path, encoding="utf-8") as file:
             added = json.load(file)["added_tokens"]
         self.added = {t["content"]: t["id"] for t in added}
-        self.pieces, self.words = Memory(REMEMBERED), Memory(REMEMBERED // 4)
+        self.pieces, self.words = Memory(remembered), Memory(remembered // 4)
 
     def model_ids(self, mapped: str) -> bytes:
         return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
@@ -94,8 +94,8 @@ class FragmentEncoder:
 class ByteEncoder(FragmentEncoder):
     """Byte-level BPE: text to 32-bit little-endian ids, as the tokenizers library gives them."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        super().__init__(path, remembered)
         inside = set()
         for token in self.library.get_vocab(with_added_tokens=False):
             inside.update(zip(token, token[1:], strict=False))
@@ -214,18 +214,19 @@ def id_lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
     """Add ``ids``, the token ids of the whole text under the byte-level vocabulary file ``tokenizer``.
 
     A null or empty text has no ids. Special tokens in a text get their own id, as in the library. Other
     columns and repeated rows pass unchanged; a column named like ``ids`` is replaced. An empty table stays one.
+    ``keep_text=False`` leaves the text out, which saves its way back from Python.
     """
 
     def work(texts: pa.Array) -> dict[str, pa.Array]:
         encoder = byte_encoder(tokenizer)
         return {ids: id_lists([encoder.encode(t) if t else b"" for t in texts.to_pylist()])}
 
-    return with_columns(docs, text, {ids: "array<int>"}, work)
+    return with_columns(docs, text, {ids: "array<int>"}, work, drop=() if keep_text else (text,))
 
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, keep_text=False)
     return bpe.decode(ids, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
