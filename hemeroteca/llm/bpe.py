@@ -190,7 +190,7 @@ def byte_encoder(path: str) -> ByteEncoder:
 
 @cache
 def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return WordEncoder(path, 2 * REMEMBERED)  # it runs alone, without a decoder beside it
 
 
 @cache

@@ -128,11 +128,9 @@ def iban(text: str, key: bytes) -> str | None:
     country, body = plain[:2], plain[4:]
     if not 15 <= len(plain) <= 34 or iban_checks(country, body) != plain[2:4]:
         return None
-    kept = re.sub("[0-9]", "0", body)
     digits = permuted(re.sub("[^0-9]", "", body), DIGITS, key, "iban")
-    own = iter(country + "00" + refill(kept, digits))
-    new = "".join(own)
-    new = iter(country + iban_checks(country, new[4:]) + new[4:])
+    body = refill(body, digits)
+    new = iter(country + iban_checks(country, body) + body)
     return "".join(c if c == " " else next(new) for c in text)
 
 
