@@ -7,8 +7,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hemeroteca.operators.prefilter import KeyFilter
+
 #: Batches are worked on in slices of about this much text, so that what a worker holds doesn't follow the batch.
 SLICE_BYTES = 8 << 20
 
@@ -21,6 +24,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def split_by_keys(rows: DataFrame, key: str, keys: DataFrame, own: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among ``keys.own``, all other rows), by a Bloom filter of 8 MB at most.
+
+    A join with the keys need only shuffle the first part; the others stay where they lie. ``keys`` is stored.
+    """
+    may = F.coalesce(KeyFilter(keys, own).may_hold(F.col(key)), F.lit(False))
+    return rows.where(may), rows.where(~may)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in consecutive slices of about ``limit`` bytes of ``column``; each has a row at least."""
     column = batch.column(column)

@@ -3,6 +3,8 @@
 A rolling hash over the last lines ends a chunk wherever its value says so, so a passage is cut alike wherever it
 stands, and what is put in before it shifts no later boundary. Chunks of several lines that occur again anywhere
 in the corpus are removed, but for the first one, after their bytes were found equal.
+
+Only documents that hold a chunk whose hash repeats are shuffled, the others never leave their place.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemeroteca.llm.batches import fresh, slices, with_columns
+from hemeroteca.llm.batches import fresh, slices, split_by_keys, with_columns
 from hemeroteca.sources.writers import materialise
 
 #: Lines that the rolling hash spans; one line in so many ends a chunk.
@@ -72,18 +74,19 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", remov
     """
     docs = docs.drop(removed)
     own = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
-    light = _listed(own, with_bytes=False)
+    light = materialise(_listed(own, with_bytes=False), "light")
     again = materialise(light.groupBy("hash").count().where("count > 1").select("hash"), "hashes")
-    holders = materialise(_listed(own, with_bytes=False).join(again, "hash", "left_semi").select("doc").distinct(), "holders")
-    found = _listed(own.join(holders, "doc", "left_semi"), with_bytes=True).join(again, "hash", "left_semi")
-    found = materialise(found, "chunks")
+    holders = materialise(light.join(again, "hash", "left_semi").select("doc").distinct(), "holders")
+    held = split_by_keys(own, "doc", holders, "doc")[0].join(holders, "doc", "left_semi")
+    found = materialise(_listed(held, with_bytes=True).join(again, "hash", "left_semi"), "chunks")
     # Groups of equal bytes: the byte comparison.
     first = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc", "n")).alias("first"), F.count("*").alias("times"))
     first = materialise(first.where("times > 1").drop("times"), "first")
     later = found.join(first, ["hash", "chunk"]).where("struct(doc, n) != first")
     listed, same = fresh(docs, "listed"), fresh(docs, "doc")
-    gone = later.groupBy(F.col("doc").alias(same)).agg(F.collect_set(F.struct("n", "hash")).alias(listed))
-    rows = docs.join(materialise(gone, "gone"), F.col(key) == F.col(same), "left").drop(same)
+    gone = materialise(later.groupBy(F.col("doc").alias(same)).agg(F.collect_set(F.struct("n", "hash")).alias(listed)), "gone")
+    touched, rest = split_by_keys(docs, key, gone, same)
+    rows = touched.join(gone, F.col(key) == F.col(same), "left").drop(same)
     both = fresh(rows, "both")
     rows = rows.withColumn(both, F.struct(F.col(text).alias("text"), F.col(listed).alias("listed")))
 
@@ -100,4 +103,4 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", remov
         return {text: pa.array(texts, pa.string()), removed: pa.array(numbers, pa.list_(pa.int32()))}
 
     made = with_columns(rows, both, {text: "string", removed: "array<int>"}, work, size_by=text)
-    return made.select(*docs.columns, removed)
+    return made.select(*docs.columns, removed).union(rest.withColumn(removed, F.array().cast("array<int>")))
