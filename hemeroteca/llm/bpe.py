@@ -23,6 +23,8 @@ from hemeroteca.llm.batches import with_columns
 
 #: Fragments that a worker remembers in each of two generations: about 40 MB in each.
 REMEMBERED = 150_000
+#: The word encoder runs alone, without a decoder beside it.
+WORDS_REMEMBERED = 400_000
 
 # The classes of the characters up to U+017F, and the published split patterns over them.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -190,7 +192,7 @@ def byte_encoder(path: str) -> ByteEncoder:
 
 @cache
 def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path, 2 * REMEMBERED)  # it runs alone, without a decoder beside it
+    return WordEncoder(path, WORDS_REMEMBERED)
 
 
 @cache
