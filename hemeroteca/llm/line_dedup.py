@@ -5,11 +5,14 @@ stands, and what is put in before it shifts no later boundary. Chunks of several
 in the corpus are removed, but for the first one, after their bytes were found equal.
 
 Only documents that hold a chunk whose hash repeats are shuffled, the others never leave their place.
+
+``drop_passages`` leaves no repeated passage of several lines: it goes by every two neighbouring lines instead of chunks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -17,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemeroteca.llm.batches import fresh, slices, split_by_keys, with_columns
+from hemeroteca.operators.prefilter import KeyFilter
 from hemeroteca.sources.writers import materialise
 
 #: Lines that the rolling hash spans; one line in so many ends a chunk.
@@ -49,14 +53,25 @@ def several_lines(text: str) -> Iterator[tuple[int, int, bytes]]:
             yield number, xxhash.xxh3_64_intdigest(chunk) - (1 << 63), chunk
 
 
-def _listed(docs: DataFrame, with_bytes: bool) -> DataFrame:
-    """``doc``, ``n``, ``hash`` and, if asked for, ``chunk`` of every chunk of several lines."""
+def line_pairs(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(first line's number, hash, bytes) of every two neighbouring lines with something in them, and blank ones between."""
+    coded = text.encode().split(b"\n")
+    worded = [number for number, line in enumerate(text.split("\n")) if line and not line.isspace()]
+    for i, j in pairwise(worded):
+        pair = b"\n".join(coded[i : j + 1])
+        yield i, xxhash.xxh3_64_intdigest(pair) - (1 << 63), pair
+
+
+def _listed(
+    docs: DataFrame, with_bytes: bool, parts_of: Callable[[str], Iterator[tuple[int, int, bytes]]] = several_lines
+) -> DataFrame:
+    """``doc``, ``n``, ``hash`` and, if asked for, ``chunk`` of every chunk of several lines, or pair of lines."""
     names = ["doc", "n", "hash", *["chunk"] * with_bytes]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [(doc, *c[: len(names) - 1]) for doc, t in zip(*map(pa.Array.to_pylist, part.columns), strict=True) for c in several_lines(t)]
+                rows = [(doc, *c[: len(names) - 1]) for doc, t in zip(*map(pa.Array.to_pylist, part.columns), strict=True) for c in parts_of(t)]
                 columns = list(zip(*rows, strict=True)) or [()] * len(names)
                 types = [part.schema.field(0).type, pa.int32(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
@@ -104,3 +119,62 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", remov
 
     made = with_columns(rows, both, {text: "string", removed: "array<int>"}, work, size_by=text)
     return made.select(*docs.columns, removed).union(rest.withColumn(removed, F.array().cast("array<int>")))
+
+
+def drop_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed_lines") -> DataFrame:
+    """``text`` without passages that stand earlier, by key and place; adds ``removed``, the numbers of their lines.
+
+    A passage is any run of lines, two of them or more with something in them; it goes from its first such line to its
+    last. So a line goes if it and its neighbour stand together earlier, whatever surrounds them; the pair's first
+    occurrence is no reason to remove it, and no line's last copy goes. For null texts and keys, rows that share a
+    key, other columns and empty tables, ``drop_repeats`` holds.
+    """
+    docs = docs.drop(removed)
+    own = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
+    light = materialise(_listed(own, with_bytes=False, parts_of=line_pairs), "light")
+    again = materialise(light.groupBy("hash").count().where("count > 1").select("hash"), "hashes")
+    may_repeat = KeyFilter(again, "hash").may_hold(F.col("hash"))
+    repeats = materialise(light.where(may_repeat).join(again, "hash", "left_semi"), "repeats")
+    holders = materialise(repeats.select("doc").distinct(), "holders")
+    held = split_by_keys(own, "doc", holders, "doc")[0]
+    # Groups of equal bytes: the byte comparison. Pairs that only pass the filter are alone in theirs.
+    found = _listed(held, with_bytes=True, parts_of=line_pairs).where(may_repeat)
+    groups = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc", "n")).alias("first"))
+    last = F.length("chunk") - F.length(F.translate(F.col("chunk").cast("string"), "\n", "")) + F.col("first.n")
+    groups = groups.withColumn("last", last)
+    # Where a hash has one group, the hash stands for the bytes; else the bytes are looked at again.
+    by_hash = groups.groupBy("hash").agg(F.min("first").alias("first"), F.min("last").alias("last"), F.count("*").alias("kinds"))
+    by_hash = materialise(by_hash.join(again, "hash", "left_semi"), "first")
+    plain = repeats.join(by_hash.where("kinds = 1"), "hash").select("doc", "n", "hash", "first", "last")
+    mixed = by_hash.where("kinds > 1").select("hash")
+    firsts = groups.join(mixed, "hash", "left_semi")
+    unlike = found.join(mixed, "hash", "left_semi").join(firsts, ["hash", "chunk"]).select("doc", "n", "hash", "first", "last")
+    if not mixed.isEmpty():
+        plain = plain.union(unlike)
+    later = plain.where("struct(doc, n) != first")
+    # A pair that starts with the last line of its first occurrence leaves that line to it.
+    shares = F.expr("doc = first.doc and n = last").alias("shares")
+    listed, same = fresh(docs, "listed"), fresh(docs, "doc")
+    gone = later.select(F.col("doc").alias(same), "n", "hash", shares)
+    gone = materialise(gone.groupBy(same).agg(F.collect_set(F.struct("n", "hash", "shares")).alias(listed)), "gone")
+    touched, rest = split_by_keys(docs, key, gone, same)
+    rows = touched.join(gone, F.col(key) == F.col(same), "left").drop(same)
+    both = fresh(rows, "both")
+    rows = rows.withColumn(both, F.struct(F.col(text).alias("text"), F.col(listed).alias("listed")))
+
+    def work(rows: pa.Array) -> dict[str, pa.Array]:
+        texts, numbers = [], []
+        for row in rows.to_pylist():
+            t, dropped = row["text"], set()
+            if t is not None and row["listed"]:
+                wanted = {(x["n"], x["hash"]): x["shares"] for x in row["listed"]}
+                for n, h, chunk in line_pairs(t):
+                    if (shared := wanted.get((n, h))) is not None:
+                        dropped.update(range(n + shared, n + 1 + chunk.count(b"\n")))
+                t = "\n".join(line for n, line in enumerate(t.split("\n")) if n not in dropped)
+            texts.append(t)
+            numbers.append(sorted(dropped))
+        return {text: pa.array(texts, pa.string()), removed: pa.array(numbers, pa.list_(pa.int32()))}
+
+    made = with_columns(rows, both, {text: "string", removed: "array<int>"}, work, size_by=text)
+    return made.select(*docs.columns, removed).union(rest.withColumn(removed, F.array().cast("array<int>")))

@@ -128,6 +128,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated passages of several lines, to their ends."""
+    return line_dedup.drop_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every document, and an edited copy of it."""

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from hemeroteca.llm import line_dedup, queries
 
 
@@ -49,3 +50,64 @@ def test_removal(spark):
 def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in queries.table(spark, sf, "documents").collect()]
     assert {r.doc_id: r.text for r in queries.op6_line_dedup(spark, sf).collect()} == plain(rows)
+
+
+def runs_removed(rows):
+    """Texts without any run of lines, two or more with something in them, that stands earlier; by trying all runs."""
+    at, out = {}, {}
+    texts = {doc: text.split("\n") for doc, text in rows}
+    full = {doc: [bool(x.strip()) for x in lines] for doc, lines in texts.items()}
+
+    def runs(doc):
+        lines = texts[doc]
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines)):
+                if full[doc][i] and full[doc][j]:
+                    yield i, j, tuple(lines[i : j + 1])
+
+    for doc in sorted(texts):
+        for i, j, run in runs(doc):
+            at.setdefault(run, (doc, i, j))
+    for doc in texts:
+        gone = set()
+        for i, j, run in runs(doc):
+            first, start, end = at[run]
+            if (first, start) != (doc, i):
+                gone.update(k for k in range(i, j + 1) if not (first == doc and start <= k <= end))
+        out[doc] = "\n".join(x for k, x in enumerate(texts[doc]) if k not in gone)
+    return out
+
+
+def test_planted_passages_go_to_their_ends(spark):
+    rnd = random.Random(3)
+    passages = [[f"line {rnd.random()}" for _ in range(k)] for k in range(2, 9) for _ in range(6)]
+    passages[3].insert(1, "")
+    rows = []
+    for doc in range(3 * len(passages)):
+        own = [[f"own {rnd.random()}" for _ in range(rnd.randrange(1, 4))] for _ in range(2)]
+        rows.append((doc, "\n".join([*own[0], *passages[doc % len(passages)], *own[1]])))
+    rows += [(900, "a\na\na\na\nb"), (901, "x\ny\nx\ny\n\n"), (902, "a\nb\nx"), (903, "\n".join(passages[5] + passages[9])), (904, " \n\n")]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, n_chars int").repartition(5)
+    want = runs_removed(rows)
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == want
+    for doc, text in rows[len(passages) : 3 * len(passages)]:
+        assert not set(passages[doc % len(passages)]) & set(want[doc].split("\n")) - {""}
+    lost = {x for _, t in rows for x in t.split("\n") if x.strip()} - {x for t in got.values() for x in t.split("\n")}
+    assert not lost
+    assert line_dedup.drop_passages(docs.limit(0)).collect() == []
+
+
+def test_passages_with_colliding_hashes(spark, monkeypatch):
+    """The bytes decide where one hash stands on unlike pairs."""
+
+    def coarse(text):
+        for n, _, pair in whole(text):
+            yield n, len(pair), pair
+
+    whole = line_dedup.line_pairs
+    monkeypatch.setattr(line_dedup, "line_pairs", coarse)
+    rows = [(0, "aa\nbb\ncc"), (1, "dd\nee\nff"), (2, "aa\nbb\nzz"), (3, "qq\nee\nff")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.drop_passages(docs).collect()}
+    assert got == {0: (rows[0][1], []), 1: (rows[1][1], []), 2: ("zz", [0, 1]), 3: ("qq", [1, 2])}
