@@ -151,14 +151,18 @@ def _date(text: str, key: bytes, order: str) -> str | None:
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
     new = datetime.date.fromordinal(FIRST_DAY + feistel(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date"))
-    values = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+    width = min(len(parts[order.index(c)]) for c in "md")
+    values = {"y": f"{new.year:04d}", "m": f"{new.month:0{width}d}", "d": f"{new.day:0{width}d}"}
     marks = re.findall(r"[-/.]", text)
     return f"{values[order[0]]}{marks[0]}{values[order[1]]}{marks[1]}{values[order[2]]}"
 
 
 def date(text: str, key: bytes) -> str | None:
-    """Year first, or day before month, or month before day if only that is in the calendar."""
-    if text[4] in "-/.":
+    """Year first, or day before month, or month before day if only that is in the calendar.
+
+    Days and months without leading zeros stay so.
+    """
+    if re.match("[0-9]{4}", text):
         return _date(text, key, "ymd")
     return _date(text, key, "dmy") or _date(text, key, "mdy")
 
@@ -187,15 +191,26 @@ FORMATS = (
     ("credential", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])", credential),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("ip", r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])", ip_address),
-    ("date", r"(?<![0-9])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9])", date),
+    ("date", r"(?<![0-9])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9])", date),
     ("social", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", social),
     ("phone", r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", phone),
     ("phone", r"(?<![0-9+])\+1[0-9]{10}(?![0-9])", phone),
-    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", card),
+    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])", card),
     ("phone", r"(?<![0-9+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,5}(?![0-9])", world_phone),
 )
 _COMPILED = [(kind, re.compile(pattern), make) for kind, pattern, make in FORMATS]
 _LIKELY = re.compile("[0-9@]")
+_CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
+#: How cards are grouped, and how a number inside a longer run may be.
+_CARD_GROUPS = re.compile("[0-9]{13,19}|([0-9]{4}[ -]){3}[0-9]{1,4}|([0-9]{4}[ -]){4}[0-9]{1,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}")
+_LONG_GROUPS = re.compile("([0-9]{4,}[ -])*[0-9]+")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = dict(re.findall("([A-Z]{2})([0-9]{2})", (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)))
 
 
 @lru_cache(20_000)
@@ -203,21 +218,74 @@ def _pseudonym(form: int, text: str, key: bytes) -> str | None:
     return _COMPILED[form][2](text, key)
 
 
+def _ends(hit: re.Match) -> list[tuple[int, int]]:
+    """The spans that fit the pattern from the hit's start on and end with a group, the longest first."""
+    text, start = hit.string, hit.start()
+    ends = [e for e in range(hit.end() - 1, start, -1) if text[e] in " .-("]
+    return [hit.span(), *((start, e) for e in ends if hit.re.fullmatch(text, start, e))]
+
+
+def _iban_spans(hit: re.Match) -> list[tuple[int, int]]:
+    """Those of the country's length first."""
+    length = int(IBAN_LENGTHS.get(hit[0][:2], 0))
+    return sorted(_ends(hit), key=lambda s: len(hit.string[slice(*s)].replace(" ", "")) != length)
+
+
+def _card_spans(hit: re.Match) -> list[tuple[int, int]]:
+    """Spans of 13 to 19 digits in a run: grouped like a card, then the longest from the left, then in long groups."""
+    text, groups = hit.string, [m.span() for m in re.compile("[0-9]+").finditer(hit.string, *hit.span())]
+    inner = []
+    for i, (start, _) in enumerate(groups):
+        digits, here = 0, []
+        for own_start, end in groups[i:]:
+            digits += end - own_start
+            if digits > 19:
+                break
+            if digits >= 13:
+                here.append((start, end))
+        inner += reversed(here)
+    grouped = [s for s in inner if _CARD_GROUPS.fullmatch(text, *s)]
+    long = [s for s in inner if _LONG_GROUPS.fullmatch(text, *s)]
+    return [*grouped, *(m.span() for m in _CARD.finditer(text, *hit.span())), *long]
+
+
 def find(text: str, key: bytes) -> list[tuple[str, int, int, str]]:
-    """(kind, start, length, pseudonym) of every value, from left to right; none overlap."""
+    """(kind, start, length, pseudonym) of every value, from left to right; none overlap.
+
+    Where a hit isn't valid as a whole, the spans inside that end, or start, with a group are tried.
+    """
     if not _LIKELY.search(text):
         return []
     found: list[tuple[str, int, int, str]] = []
+
+    def taken(form: int, start: int, end: int) -> bool:
+        if any(start < s + n and s < end for _, s, n, _ in found):
+            return False
+        if (new := _pseudonym(form, text[start:end], key)) is not None:
+            found.append((_COMPILED[form][0], start, end - start, new))
+        return new is not None
+
     for form, (kind, pattern, _) in enumerate(_COMPILED):
-        for hit in pattern.finditer(text):
-            start, end = hit.span()
-            if any(start < s + n and s < end for _, s, n, _ in found):
-                continue
-            if (new := _pseudonym(form, hit[0], key)) is not None:
-                found.append((kind, start, end - start, new))
+        at = 0
+        while hit := pattern.search(text, at):
+            at = hit.end()
+            if kind == "card":
+                for span in _card_spans(hit):
+                    taken(form, *span)
+            elif (end := next((e for s, e in _SPANS.get(kind, _whole)(hit) if taken(form, s, e)), None)) is not None:
+                at = end
+            else:
+                at = hit.start() + 1
     return sorted(found, key=lambda f: f[1])
 
 
+def _whole(hit: re.Match) -> list[tuple[int, int]]:
+    return [hit.span()]
+
+
+_SPANS = {"iban": _iban_spans, "phone": _ends}
+
+
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", found: str = "pii") -> DataFrame:
     """Replace the values in ``text`` and add ``found``: kind, start and length in the old text, and pseudonym.
 
