@@ -276,6 +276,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     spokes = members.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = confirmed(spokes, "spokes")
+    # Unlike texts of one key have nodes of their own, which that key links.
+    unlike = own.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low != high")
+    unlike = materialise(unlike.select("doc_id"), "unlike")
+    if not unlike.isEmpty():
+        texts_of = own.select("doc_id", "digest").join(unlike, "doc_id", "left_semi").join(least, "digest")
+        lowest = texts_of.groupBy("doc_id").agg(F.min("node").alias("a"))
+        same_key = texts_of.select("doc_id", F.col("node").alias("b")).join(lowest, "doc_id").where("a < b")
+        links = materialise(links.select("a", "b").union(same_key.select("a", "b").distinct()), "links")
     labels = _labels(links)
     apart = materialise(apart_from_hub(labels).select("bucket", "node"), "apart")
     if not apart.isEmpty():

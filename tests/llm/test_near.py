@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from hemeroteca.llm import near, queries
 
 
@@ -77,6 +78,16 @@ def test_repeated_and_null_keys(spark):
     )
 
 
+def test_unlike_texts_of_one_key(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (8, b), (9, c), (9, c), (10, c + " x y"), (10, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near.classes(docs).collect()}
+    assert got == {(1, 1, True), (5, 1, False), (8, 1, False), (9, 9, True), (10, 9, False)}
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == [1, 9, 9]
+
+
 def test_registers_merge_and_agree_with_likeness():
     rnd = np.random.default_rng(1)
     pool = rnd.integers(0, 2**64, 3000, dtype=np.uint64)
