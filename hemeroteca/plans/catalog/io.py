@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hemeroteca.functions import fixed_values as fv
-from hemeroteca.operators import cleaning, dedupe
+from hemeroteca.operators import cleaning, dedupe, quality
 from hemeroteca.plans import inputs
 from hemeroteca.plans.catalog.registry import ORDER_URLS_SQL, articles_sql, query
+from hemeroteca.plans.catalog.text import _SUSPECTS
 from hemeroteca.session import scratch_path
 from hemeroteca.sources import readers, writers
 
@@ -120,6 +121,31 @@ def issue_report_if_any(spark, sf):
     return dedupe.append_rows(*out)
 
 
+@query(
+    f"""SELECT 'some' AS kind, idx AS index, left(title, 80) AS title, url, array_to_string(s[1:5], '|') AS merged_words, 1 AS written
+    FROM (SELECT *, {_SUSPECTS} AS s FROM {articles_sql()}) WHERE len(s) > 0
+    UNION ALL SELECT 'none', NULL, NULL, NULL, NULL, 0"""
+)
+def glued_report_if_any(spark, sf):
+    """The whole glued-word report, written and read again; the articles that aren't in it give no file."""
+    articles = inputs.articles(spark, sf)
+    report = quality.glued_report(articles)
+    clean = articles.join(report.select(F.col("index").alias("idx")), "idx", "left_anti")
+    out = []
+    for kind, issues in (("some", report), ("none", quality.glued_report(clean))):
+        path = scratch_path(spark, "glued")
+        written = writers.write_report(issues, path)
+        if there := readers.exists(spark, path):
+            rows = readers.read_records(spark, path, issues.schema)
+        else:
+            rows = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in issues.schema])
+        if written != there:
+            raise AssertionError(f"{kind}: written {written}, file {there}")
+        words = F.array_join("merged_words", "|").alias("merged_words")
+        out.append(rows.select(F.lit(kind).alias("kind"), "index", "title", "url", words, F.lit(int(written)).alias("written")))
+    return dedupe.append_rows(*out)
+
+
 _LISTED = """'["' || lang || '", "it''s", "' || source || '"]'"""
 
 
