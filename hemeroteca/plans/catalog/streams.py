@@ -34,12 +34,15 @@ def _listing_stream(spark, sf):
 )
 def stream_progress(spark, sf):
     """Listing rows come in two parts, with a restart between them: ticks at 1,000 and 1,500 seconds."""
+    return _progress(spark, sf, _stream(spark, sf, "orders").where("o_orderkey % 32 = 0"))
+
+
+def _progress(spark, sf, articles):
     folder, out, state = (scratch_path(spark, f"progress-{k}") for k in ("in", "out", "state"))
     rows = inputs.listing(spark, sf).select("idx", "page")
     for part, moments in enumerate(((0, 1000), (1500,))):
         rows.where(F.col("idx") % 2 == part).write.mode("append").parquet(folder)
         listing = stream_folder(spark, folder, rows.schema, maxFilesPerTrigger=1000)
-        articles = _stream(spark, sf, "orders").where("o_orderkey % 32 = 0")
         clock = iter(moments).__next__
         harvest.run_to_end(harvest.watch_progress(listing, articles, out, state, every=None, clock=clock))
     return harvest.latest_progress(spark, out).select(
@@ -47,6 +50,17 @@ def stream_progress(spark, sf):
     )
 
 
+@query(
+    f"""SELECT *, CAST(n_listing AS DOUBLE) * 100 / 2000 AS pct_listing, CAST(n_articles AS DOUBLE) / elapsed_s AS rate_per_s,
+    CAST(floor((n_listing - n_articles) / (CAST(n_articles AS DOUBLE) / elapsed_s)) AS BIGINT) AS eta_s FROM (
+    SELECT (SELECT count(*) FROM {LISTING_SQL}) AS n_listing, (SELECT count(*) FROM orders) AS n_articles,
+    (SELECT max(page) FROM {LISTING_SQL}) AS max_page, CAST(1500 AS BIGINT) AS elapsed_s, 1 AS tick)"""
+)
+def stream_progress_whole(spark, sf):
+    """As ``stream_progress``, with all orders as articles: more than are listed, so the time left is below zero."""
+    return _progress(spark, sf, _stream(spark, sf, "orders"))
+
+
 @query(f"""SELECT idx, url, page, pos FROM {LISTING_SQL} QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, pos) = 1""")
 def stream_first_seen(spark, sf):
     """Whole rows, from several files and triggers, stopped and started again between them."""
