@@ -57,20 +57,22 @@ def with_columns(
     work: Callable[[pa.Array], dict[str, pa.Array]],
     size_by: str | None = None,
     drop: tuple[str, ...] = (),
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Like ``withColumns``: ``work`` makes the columns ``made`` (name to DDL type) from the column ``read``.
 
-    A column of that name is replaced. ``work`` runs in the executors, once a slice, as cut
-    by the size of ``size_by`` (else of ``read``). Columns in ``drop`` are read and left out.
+    A column of that name, in any case of letters, is replaced. ``work`` runs in the executors, once a slice of about
+    ``limit`` bytes of ``size_by`` (else of ``read``). Columns in ``drop`` are read and left out.
     """
-    keep = [f for f in df.schema.fields if f.name not in made and f.name not in drop]
+    out = {name.lower() for name in (*made, *drop)}
+    keep = [f for f in df.schema.fields if f.name.lower() not in out]
     new = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in made.items()))
     schema = T.StructType(keep + new.fields)
     kept = [f.name for f in keep]
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, size_by or read):
+            for part in slices(batch, size_by or read, limit):
                 out = work(part.column(read))
                 arrays = [part.column(c) for c in kept] + [out[c] for c in made]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + list(made))

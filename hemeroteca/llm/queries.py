@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemeroteca.llm import bpe, line_dedup, line_rules, merkle, mil, near, packing, pii, sharding, urls
+from hemeroteca.llm import (
+    bpe, centroids, line_dedup, line_rules, merkle, mil, near, packing, pieces, pii, prefixes, sharding, urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +159,75 @@ def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode and decode every document with the piece vocabulary."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, keep_text=False, packed=True)
+    return pieces.decode(ids, model).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster all embeddings around 16 centroids."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def _centroid_sql(rounds: int) -> str:
+    near = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT r, id, v, arg_min(struct_pack(k := k, d := {near}), struct_pack(d := {near}, k := k)) AS b
+            FROM kept, c{n} GROUP BY r, id, v)""")
+        steps.append(f"""m{n} AS (SELECT k, list(s ORDER BY i) AS c FROM (SELECT b.k AS k, i, floor_sum(sum(v[i])::HUGEINT, count(*)) AS s
+            FROM a{n}, range(1, 65) AS t(i) GROUP BY b.k, i) GROUP BY k)""")
+        steps.append(f"c{n + 1} AS MATERIALIZED (SELECT c{n}.k, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (k))")
+    # Division of whole numbers cuts towards zero here, so what is below zero is mended.
+    text = ", ".join(steps[:-2]).replace("floor_sum(sum(v[i])::HUGEINT, count(*))", "(sum(v[i])::BIGINT - ((sum(v[i])::BIGINT % count(*)) + count(*)) % count(*)) // count(*)")
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || id), v) - 1 AS k, v AS c FROM kept QUALIFY k < 16), {text}
+        SELECT id AS vec_id, b.k::INTEGER AS cluster, b.d AS distance, (sum(b.d) OVER (PARTITION BY b.k))::BIGINT AS cluster_inertia,
+        (sum(b.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON c{rounds}.k = b.k"""
+
+
+ORACLES["op12_centroids"] = _centroid_sql(3)
+
+
+@query
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return prefixes.trie(table(spark, sf_dir, "conversations"), family=5, most=8)
+
+
+_CRC_BYTE = "list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, {0})"
+_CRC_SQL = f"""xor(4294967295, list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+    lambda s, x: {_CRC_BYTE.format("xor(s, x)")}, 4294967295::BIGINT))"""
+ORACLES["op13_prefixes"] = f"""
+    WITH own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS n,
+        sha256(coalesce(role, '') || chr(31) || coalesce(text, '')) AS code, octet_length(encode(coalesce(text, ''))) AS bytes
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT c, {_CRC_SQL} % 9 AS h FROM (SELECT DISTINCT c FROM own)),
+    turns AS (SELECT convs.c, n, code, bytes FROM convs JOIN own ON own.c = convs.c - convs.c % 5 AND own.n < h
+        UNION ALL SELECT c, n, code, bytes FROM own JOIN convs USING (c) WHERE n >= h),
+    paths AS MATERIALIZED (SELECT c, row_number() OVER w AS d, bytes, string_agg(code, '/') OVER (w ROWS UNBOUNDED PRECEDING) || '/' AS path
+        FROM turns WINDOW w AS (PARTITION BY c ORDER BY n) UNION ALL SELECT c, 0, 0, '/' FROM convs),
+    lengths AS (SELECT c, max(d) AS last FROM paths GROUP BY c),
+    nodes AS MATERIALIZED (SELECT CASE WHEN d = 0 THEN '' ELSE path END AS path, d, min(c) AS conv, count(*) AS n, any_value(bytes) AS bytes,
+        coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = last), '') AS ends FROM paths JOIN lengths USING (c) GROUP BY ALL),
+    up AS (SELECT child.path, parent.path AS above, parent.conv FROM nodes child JOIN nodes parent
+        ON child.d = parent.d + 1 AND starts_with(child.path, parent.path)),
+    below AS (SELECT top.path, count(*) FILTER (WHERE sub.path NOT IN (SELECT above FROM up)) AS n_leaves,
+        sum((sub.n - 1) * sub.bytes)::BIGINT AS saved FROM nodes top JOIN nodes sub ON starts_with(sub.path, top.path) GROUP BY top.path)
+    SELECT nodes.conv AS conv_id, d AS depth, up.conv AS parent_conv_id, n AS n_convs,
+        (SELECT count(*) FROM up u WHERE u.above = nodes.path) AS n_children, n_leaves, saved AS saved_tokens, sha256(ends) AS ends_sha256
+    FROM nodes JOIN below USING (path) LEFT JOIN up USING (path)"""
