@@ -61,9 +61,9 @@ ARTICLE_PAGE_URL = article_url("page_id")
 
 
 def article_pages(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread(table(spark, sf, "pages"))
+    pages = spread(table(spark, sf, "pages").select("*", F.col("_metadata.file_path").alias("file")))
     return pages.select(
-        "page_id", F.expr(ARTICLE_PAGE_URL).alias("url"), F.expr(ARTICLE_PAGE_HTML).alias("html")
+        "page_id", F.expr(ARTICLE_PAGE_URL).alias("url"), F.expr(ARTICLE_PAGE_HTML).alias("html"), "file"
     )
 
 

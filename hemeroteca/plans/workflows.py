@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hemeroteca.operators import article, cleaning, dedupe, listing, quality
 from hemeroteca.operators.outline import outline
-from hemeroteca.operators.prefilter import KeyFilter
+from hemeroteca.operators.prefilter import kept_by_keys
 from hemeroteca.sources.writers import materialise
 
 
@@ -43,14 +43,16 @@ def harvest_listing(
 def extract_listed(listed: DataFrame, pages: DataFrame, extract) -> DataFrame:
     """Extract the pages whose URL is listed, without ever shuffling their HTML.
 
-    A Bloom filter of bounded size drops pages where they lie, before their HTML
-    reaches Python; the few strangers that pass cost a parse, and the exact semi join
-    on the far smaller records drops them.  The URL set is stored first.
+    Bloom filters of bounded size drop pages where they lie, before their HTML reaches
+    Python; the few strangers that pass cost a parse, and the exact semi join on the far
+    smaller records drops them.  A URL set too long for one filter is met in groups of
+    the pages' files, named by their column ``file`` (see ``read_pages``); without that
+    column, in groups of URLs, each of which reads all pages.  The URL set is stored first.
     """
     urls = materialise(listed.select("url").distinct(), "urls")
-    known = KeyFilter(urls, "url")
-    pages = pages.select("url", "html").where(known.may_hold(F.col("url")))
-    return extract(outline(pages)).join(urls, "url", "left_semi")
+    by = "file" if "file" in pages.columns else None
+    kept = kept_by_keys(pages.select("url", "html", *[by] * (by is not None)), urls, "url", by)
+    return extract(outline(kept.select("url", "html"))).join(urls, "url", "left_semi")
 
 
 def harvest_articles(

@@ -256,12 +256,3 @@ def test_html_is_filtered_before_python_and_never_shuffled(spark, sf):
         depth = [(len(line) - len(line.lstrip(" :+-")), line) for line in physical.splitlines()]
         first = next(i for i, (_, line) in enumerate(depth) if "MapInArrow" in line)
         assert not any("Exchange hashpartitioning(url" in line for _, line in depth[first + 1 :] if "html" in line)
-
-
-def test_key_filter_loses_no_key(spark):
-    keys = spark.range(20_000).selectExpr("concat('https://h/', id) AS url")
-    known = prefilter.KeyFilter(keys, "url")
-    assert keys.where(~known.may_hold(F.col("url"))).isEmpty()
-    strangers = spark.range(20_000).selectExpr("concat('https://k/', id) AS url")
-    assert strangers.where(known.may_hold(F.col("url"))).count() < 400
-    assert keys.where(prefilter.KeyFilter(keys.limit(0), "url").may_hold(F.col("url"))).isEmpty()
