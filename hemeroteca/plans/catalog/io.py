@@ -38,14 +38,14 @@ def json_round_trip(spark, sf):
 _PER_FILE = 500
 
 
-def _write_arrays(spark, sf, path, array):
+def _write_arrays(spark, sf, path, array, changed=lambda r: r):
     """JSON array files of so many records each, none of them growing with the data, all in one folder.
 
     ``array`` is the file's text, as an expression over ``body``, the joined records, and ``block``.
     """
-    record = F.to_json(F.struct(*_DOCS.names))
-    blocks = _docs(spark, sf).groupBy(F.expr(f"doc_id div {_PER_FILE}").alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct("doc_id", record.alias("r")))).alias("rs")
+    records = _docs(spark, sf).select("doc_id", F.to_json(F.struct(*_DOCS.names)).alias("r"))
+    blocks = records.select("doc_id", changed(F.col("r")).alias("r")).groupBy(F.expr(f"doc_id div {_PER_FILE}").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "r"))).alias("rs")
     )
     body = F.array_join(F.transform("rs", lambda x: x["r"]), ",")
     texts = blocks.select(body.alias("body"), "block").select(F.expr(array).alias("value"))
@@ -61,18 +61,32 @@ def json_array_scan(spark, sf):
     return back.select(*_DOCS.names, F.col("idx").alias("idx_in_file"))
 
 
+@query("SELECT doc_id, text, lang, source, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents")
+def json_one_array(spark, sf):
+    """All records in a single array file, written as one and read back in splits, each record with its place."""
+    path = scratch_path(spark, "json-one")
+    writers.write_json_array(_docs(spark, sf), path, "doc_id")
+    return readers.read_json_array(spark, path, _DOCS).drop("file")
+
+
 @query(
-    f"""SELECT 'record' AS kind, doc_id FROM documents WHERE doc_id // {_PER_FILE} % 2 = 1
-    UNION ALL SELECT 'broken file', NULL FROM (SELECT DISTINCT doc_id // {_PER_FILE} AS block FROM documents) WHERE block % 2 = 0"""
+    f"""SELECT 'record' AS kind, doc_id, doc_id % {_PER_FILE} AS idx FROM documents WHERE doc_id // {_PER_FILE} % 2 = 1 AND doc_id % 7 <> 5
+    UNION ALL SELECT 'wrong type', doc_id, doc_id % {_PER_FILE} FROM documents WHERE doc_id // {_PER_FILE} % 2 = 1 AND doc_id % 7 = 5
+    UNION ALL SELECT 'broken file', NULL, NULL FROM (SELECT DISTINCT doc_id // {_PER_FILE} AS block FROM documents) WHERE block % 2 = 0"""
 )
 def json_arrays_some_broken(spark, sf):
-    """Every other array file is cut short: its records don't count, and the file is told."""
+    """Every other array file is cut short: its records don't count, and the file is told.
+
+    In the others, the records of which the id is text are told with their place.
+    """
     path = scratch_path(spark, "json-broken")
-    _write_arrays(spark, sf, path, "if(block % 2 = 0, concat('[', left(body, length(body) - 3)), concat('[', body, ']'))")
+    odd = F.regexp_replace("r", '^\\{"doc_id":([0-9]+)', '{"doc_id":"no. $1"')
+    array = "if(block % 2 = 0, concat('[', left(body, length(body) - 3)), concat('[', body, ']'))"
+    _write_arrays(spark, sf, path, array, lambda r: F.when(F.col("doc_id") % 7 == 5, odd).otherwise(r))
     rows, rejects = readers.split_json_arrays(spark, path, _DOCS)
-    return rows.select(F.lit("record").alias("kind"), "doc_id").unionByName(
-        rejects.select(F.lit("broken file").alias("kind"), F.lit(None).cast("long").alias("doc_id"))
-    )
+    number = F.nullif(F.regexp_extract("text", '^\\{"doc_id":"no. ([0-9]+)"', 1), F.lit("")).cast("long")
+    told = rejects.select(F.when(F.col("idx").isNull(), "broken file").otherwise("wrong type").alias("kind"), number.alias("doc_id"), "idx")
+    return rows.select(F.lit("record").alias("kind"), "doc_id", "idx").unionByName(told)
 
 
 @query(
@@ -105,22 +119,6 @@ def checkpoint_read(spark, sf):
     return dedupe.append_rows(*[readers.read_checkpoint(spark, p, schema) for p in (good, f"{good}-absent", bad)])
 
 
-@query(
-    f"""SELECT 'some' AS kind, count(*) AS n, 1 AS written FROM {articles_sql()} WHERE idx % 3 = 0
-    UNION ALL SELECT 'none', 0, 0"""
-)
-def issue_report_if_any(spark, sf):
-    """A report is written when there are issues, and no file when there are none."""
-    out = []
-    for kind, rows in (("some", "idx % 3 = 0"), ("none", "idx < 0")):
-        path = scratch_path(spark, "issues")
-        issues = inputs.articles(spark, sf).where(rows).select("idx", F.split(F.left("body", F.lit(40)), " ").alias("merged_words"))
-        written = writers.write_report(issues, path)
-        found = readers.read_records(spark, path, issues.schema) if readers.exists(spark, path) else issues.where("false")
-        out.append(found.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n", F.lit(int(written)).alias("written")))
-    return dedupe.append_rows(*out)
-
-
 @query(
     f"""SELECT 'some' AS kind, idx AS index, left(title, 80) AS title, url, array_to_string(s[1:5], '|') AS merged_words, 1 AS written
     FROM (SELECT *, {_SUSPECTS} AS s FROM {articles_sql()}) WHERE len(s) > 0

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hemeroteca.operators.dedupe import first_seen
+from hemeroteca.session import scratch_path
+from hemeroteca.sources.arrays import array_records
 
 CSV_OPTIONS = {
     "header": "true",
@@ -21,28 +23,33 @@ CSV_OPTIONS = {
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files holding one JSON array of records each, with 0-based ``idx`` and ``file``.
 
-    An array file cannot be split, so one file is one task; a corpus of many files
-    still spreads.  Land big arrays once with ``write_records`` and read those.
-    A file that is no such array fails the query; see ``split_json_arrays``.
+    A big file is read in splits, many tasks at once.  A file that is no such array, or a
+    record that does not fit the schema, fails the query; see ``split_json_arrays``.
     """
-    records = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
-    return _elements(_whole_files(spark, path).withColumn("records", records))
+    rows = array_records(spark, path)
+    stop = F.raise_error(F.concat_ws(": ", F.lit("not an array of records"), "file", "fault"))
+    text = F.when(F.col("fault").isNotNull(), stop.cast("string")).otherwise(F.col("record"))
+    parsed = rows.select("file", "idx", F.from_json(text, schema, {"mode": "FAILFAST"}).alias("r"))
+    return parsed.select("file", "idx", "r.*")
 
 
 def split_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """The records of the files that can be read, as ``read_json_array`` gives them, and the ``file`` of each other one."""
-    parsed = _whole_files(spark, path).withColumn("records", F.from_json("value", T.ArrayType(schema)))
-    return _elements(parsed), parsed.where("records is null").select("file")
+    """(records as ``read_json_array`` gives them, rejects: ``file``, ``idx``, ``text``).
 
-
-def _whole_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-
-
-def _elements(parsed: DataFrame) -> DataFrame:
-    return parsed.select("file", F.posexplode("records").alias("idx", "r")).select(
-        "file", F.col("idx").cast("long").alias("idx"), "r.*"
-    )
+    A record that does not fit the schema is a reject with its place and text.  Of a file
+    that is no array of records, nothing is read; it is one reject, with what is wrong with it.
+    """
+    path_of = scratch_path(spark, "array-records")
+    array_records(spark, path).write.parquet(path_of)
+    rows = spark.read.parquet(path_of)
+    faults = rows.where("fault is not null").groupBy("file").agg(F.min(F.struct("idx", "fault")).alias("f"))
+    kept = T.StructType([*schema.fields, T.StructField("_text", T.StringType())])
+    sound = rows.where("fault is null").join(faults.select("file"), "file", "left_anti")
+    parsed = sound.select("file", "idx", F.from_json("record", kept, {"columnNameOfCorruptRecord": "_text"}).alias("r")).select("file", "idx", "r.*")
+    bad = F.col("_text").isNotNull()
+    rejects = parsed.where(bad).select("file", "idx", F.col("_text").alias("text"))
+    whole = faults.select("file", F.lit(None).cast("long").alias("idx"), F.col("f.fault").alias("text"))
+    return parsed.where(~bad).drop("_text"), rejects.union(whole)
 
 
 def read_json_folder(
@@ -51,16 +58,29 @@ def read_json_folder(
     """Every JSON file or JSON table of a folder whose name does not speak of a checkpoint.
 
     Without a schema the columns are the sorted union of keys; name one for big
-    folders, since inferring reads everything once more.
+    folders, since inferring reads everything once more.  Broken text, or a file of
+    lines read with ``multi_line``, fails the query.
     """
-    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True)
-    if schema is not None:
-        reader = reader.schema(schema)
     # Chosen by name before reading, so checkpoints are not even opened.
     names = json_names(spark, folder)
     if not names:
         return spark.createDataFrame([], schema or T.StructType([]))
-    return reader.json([f"{folder.rstrip('/')}/{n}" for n in names])
+    paths = [f"{folder.rstrip('/')}/{n}" for n in names]
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True).option("mode", "FAILFAST")
+    if schema is not None:
+        reader = reader.schema(schema)
+    rows = reader.json(paths)
+    return rows if not multi_line else _with_whole_files(spark, paths, rows)
+
+
+def _with_whole_files(spark: SparkSession, paths: list[str], rows: DataFrame) -> DataFrame:
+    """The rows, or an error where a file goes on after its first JSON value, of which alone ``multiLine`` reads."""
+    sizes = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
+    more = F.col("value").rlike("^\\s*\\{[^\\n]*\\}\\s*\\n\\s*\\{")
+    stop = F.raise_error(F.concat(F.lit("a file of lines, to be read with multi_line=False: "), "_metadata.file_path"))
+    checked = sizes.where(F.when(more, stop.cast("boolean")).otherwise(F.lit(False)))
+    nothing = checked.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    return rows.unionByName(nothing)
 
 
 def json_names(spark: SparkSession, folder: str) -> list[str]:

@@ -17,6 +17,53 @@ def write_records(rows: DataFrame, path: str, mode: str = "error") -> None:
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(rows: DataFrame, path: str, order: str) -> None:
+    """One JSON array, ``path``, of all rows in ``order``; null fields are kept.
+
+    Tasks write sorted parts, each record behind a comma, and Spark commits them; then the
+    file system client lays them end to end, byte by byte and without parsing, so the
+    file's size is no matter of memory.  A failed call leaves no file under ``path``, and
+    rows that tie in ``order`` go by their text.
+    """
+    spark = rows.sparkSession
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    lines = rows.select(F.col(f"`{order}`").alias("own"), F.concat(F.lit(","), record).alias("value")).orderBy("own", "value")
+    parts = scratch_path(spark, "array-parts")
+    lines.select("value").write.text(parts)
+    _join_records(spark, parts, path)
+
+
+def _join_records(spark: SparkSession, parts: str, path: str) -> None:
+    """The lines of a folder's part files, in the order of their names, as one array.
+
+    Every line begins with a comma; the first one's is left out.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    source_fs, fs = folder.getFileSystem(conf), target.getFileSystem(conf)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    unfinished = jvm.org.apache.hadoop.fs.Path(f"{path}.unfinished")
+    listed = sorted((s for s in source_fs.listStatus(folder) if s.getLen()), key=lambda s: s.getPath().getName())
+    listed = [s.getPath() for s in listed if s.getPath().getName().startswith("part-")]
+    out = fs.create(unfinished, True)
+    try:
+        out.write(ord("["))
+        for number, part in enumerate(listed):
+            stream = source_fs.open(part)
+            try:
+                stream.seek(int(number == 0))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            finally:
+                stream.close()
+        out.write(ord("]"))
+    finally:
+        out.close()
+    if not fs.rename(unfinished, target):
+        raise OSError(f"{path}: could not be put in place")
+
+
 def write_csv(
     rows: DataFrame, path: str, columns: list[str] | None = None, mode: str = "error", skip_empty: bool = False
 ) -> bool:
