@@ -48,6 +48,27 @@ class KeyFilter:
         return key.isNotNull() & F.forall(self._positions(key), is_set)
 
 
+def _groups(count: int) -> int:
+    return -(-count // int(keys_per_filter() * FILL)) if count > keys_per_filter() else 1
+
+
+def held_in_groups(keys: DataFrame, key: str, bears: Column) -> list[tuple[Column, Column]]:
+    """(which rows are in the group, whether such a row may bear one of the keys) for each group of a key set.
+
+    Groups are dealt by a hash of the key, which rows have in ``bears``; every row is in one. A set that fits one
+    filter is one group. Hand in stored keys.
+    """
+    count = keys.count()
+    groups = _groups(count)
+    if groups == 1:
+        return [(F.lit(True), KeyFilter(keys, key, count).may_hold(bears))]
+
+    def own(column: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), column), F.lit(groups))
+
+    return [(own(bears) == n, KeyFilter(keys.where(own(F.col(key)) == n), key).may_hold(bears)) for n in range(groups)]
+
+
 def kept_by_keys(rows: DataFrame, keys: DataFrame, key: str, by: str | None = None) -> DataFrame:
     """The rows whose ``key`` is in ``keys``, and a few others, without a shuffle of the rows.
 
@@ -59,10 +80,10 @@ def kept_by_keys(rows: DataFrame, keys: DataFrame, key: str, by: str | None = No
     distinct keys.
     """
     count = keys.count()
-    groups = -(-count // int(keys_per_filter() * FILL)) if count > keys_per_filter() else 1
-    if groups == 1:
-        return rows.where(KeyFilter(keys, key, count).may_hold(F.col(key)))
-    group = F.pmod(F.xxhash64(F.col(by or key)), F.lit(groups))
+    groups = _groups(count)
+    if groups == 1 or by is None:
+        return reduce(DataFrame.unionAll, [rows.where(own & held) for own, held in held_in_groups(keys, key, F.col(key))])
+    group = F.pmod(F.xxhash64(F.col(by)), F.lit(groups))
     borne = rows.select(key, group.alias("_group")).join(keys.select(key), key, "left_semi").distinct()
     path = scratch_path(rows.sparkSession, "borne")
     borne.write.partitionBy("_group").parquet(path)
@@ -73,4 +94,3 @@ def kept_by_keys(rows: DataFrame, keys: DataFrame, key: str, by: str | None = No
         for n in sorted(counts)
     ]
     return reduce(DataFrame.unionAll, parts) if parts else rows.where("false")
-
