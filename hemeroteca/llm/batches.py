@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hemeroteca.operators.prefilter import KeyFilter
+from hemeroteca.operators.prefilter import held_in_groups
 
 #: Batches are worked on in slices of about this much text, so that what a worker holds doesn't follow the batch.
 SLICE_BYTES = 8 << 20
@@ -25,12 +28,40 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def split_by_keys(rows: DataFrame, key: str, keys: DataFrame, own: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key may be among ``keys.own``, all other rows), by a Bloom filter of 8 MB at most.
+    """(rows whose key may be among ``keys.own``, all other rows), by Bloom filters of 8 MB at most.
 
-    A join with the keys need only shuffle the first part; the others stay where they lie. ``keys`` is stored.
+    A join with the keys need only shuffle the first part; the others stay where they lie. ``keys`` is stored. More
+    keys than a filter holds are met in groups, each of which reads the rows.
     """
-    may = F.coalesce(KeyFilter(keys, own).may_hold(F.col(key)), F.lit(False))
-    return rows.where(may), rows.where(~may)
+    groups = held_in_groups(keys, own, F.col(key))
+    parts = [(rows.where(mine & held), rows.where(mine & ~held)) for mine, held in groups]
+    return tuple(reduce(DataFrame.union, side) for side in zip(*parts, strict=True))
+
+
+def give_back(*caches) -> None:
+    """Empty the caches and hand free memory back, at a task's end.
+
+    A worker lives on for later tasks and other stages, several in one executor; what it doesn't need there would add up.
+    """
+    for cache in caches:
+        cache.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run: Callable) -> Callable:
+    """``run`` over batches, with memory given back at the task's end."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -58,11 +89,13 @@ def with_columns(
     size_by: str | None = None,
     drop: tuple[str, ...] = (),
     limit: int = SLICE_BYTES,
+    caches: tuple = (),
 ) -> DataFrame:
     """Like ``withColumns``: ``work`` makes the columns ``made`` (name to DDL type) from the column ``read``.
 
     A column of that name, in any case of letters, is replaced. ``work`` runs in the executors, once a slice of about
-    ``limit`` bytes of ``size_by`` (else of ``read``). Columns in ``drop`` are read and left out.
+    ``limit`` bytes of ``size_by`` (else of ``read``). Columns in ``drop`` are read and left out. ``caches`` that ``work``
+    fills are emptied at a task's end.
     """
     out = {name.lower() for name in (*made, *drop)}
     keep = [f for f in df.schema.fields if f.name.lower() not in out]
@@ -71,10 +104,13 @@ def with_columns(
     kept = [f.name for f in keep]
 
     def run(batches):
-        for batch in batches:
-            for part in slices(batch, size_by or read, limit):
-                out = work(part.column(read))
-                arrays = [part.column(c) for c in kept] + [out[c] for c in made]
-                yield pa.RecordBatch.from_arrays(arrays, names=kept + list(made))
+        try:
+            for batch in batches:
+                for part in slices(batch, size_by or read, limit):
+                    out = work(part.column(read))
+                    arrays = [part.column(c) for c in kept] + [out[c] for c in made]
+                    yield pa.RecordBatch.from_arrays(arrays, names=kept + list(made))
+        finally:
+            give_back(*caches)
 
     return df.mapInArrow(run, schema)

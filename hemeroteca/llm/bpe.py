@@ -4,7 +4,7 @@ No merge can span two bytes that stand side by side in no token of the vocabular
 cut: the two sides can be encoded alone and joined. In a byte-level vocabulary "character, blank" is such a
 pair, so a text falls apart into blank-led pieces; a piece falls apart where the pre-tokenizer cuts; and what
 is left falls apart at the vocabulary's other missing pairs. Fragments repeat far more often than texts, so
-each worker remembers the ids of those it has met, in two generations of bounded size.
+each task remembers the ids of those it has met, in two generations of bounded size.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 
 from hemeroteca.llm.batches import with_columns
 
-#: Fragments that a worker remembers in each of two generations: about 40 MB in each.
-REMEMBERED = 150_000
+#: Fragments that a task remembers in each of two generations: about 25 MB in each, 60 MB if all are long.
+REMEMBERED = 120_000
+#: Longer ones, in characters, aren't remembered, so that numbers bound bytes.
+LONGEST = 64
 
 # The classes of the characters up to U+017F, and the published split patterns over them.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -65,6 +67,8 @@ class Memory:
         return found
 
     def put(self, key, value) -> None:
+        if len(key) > LONGEST:
+            return
         if len(self.young) >= self.limit:
             self.young, self.old = {}, self.young
         self.young[key] = value
@@ -226,7 +230,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
         encoder = byte_encoder(tokenizer)
         return {ids: id_lists([encoder.encode(t) if t else b"" for t in texts.to_pylist()])}
 
-    return with_columns(docs, text, {ids: "array<int>"}, work, drop=() if keep_text else (text,))
+    return with_columns(docs, text, {ids: "array<int>"}, work, drop=() if keep_text else (text,), caches=(byte_encoder,))
 
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -243,4 +247,4 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text"
             out.append(b"".join(map(table.__getitem__, known.tolist())).decode("utf-8", "replace"))
         return {text: pa.array(out, pa.string())}
 
-    return with_columns(rows, ids, {text: "string"}, work)
+    return with_columns(rows, ids, {text: "string"}, work, caches=(token_bytes,))

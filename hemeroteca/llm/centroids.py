@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hemeroteca.llm.batches import tidied
 from hemeroteca.sources.writers import materialise
 
 #: Vectors with a component beyond this, once whole numbers, are left out: their squared distances pass 64 bits.
@@ -123,7 +124,7 @@ def cluster(
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["id", "v", "to_pivots"])
 
     schema = T.StructType([kind, *T.StructType.fromDDL("v array<long>, to_pivots array<long>").fields])
-    stored = materialise(whole.mapInArrow(with_distances, schema), "vectors")
+    stored = materialise(whole.mapInArrow(tidied(with_distances), schema), "vectors")
     for _ in range(rounds):
         for row in _sums(stored, Nearest(centroids, pivots), size).collect():  # a row a centroid
             centroids[row["cluster"]] = [s // row["n"] for s in row["sums"]]
@@ -148,7 +149,7 @@ def _assigned(stored: DataFrame, nearest: Nearest, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["id", "cluster", "distance"])
 
     schema = T.StructType([stored.schema["id"], *T.StructType.fromDDL("cluster int, distance long").fields])
-    return stored.mapInArrow(run, schema)
+    return stored.mapInArrow(tidied(run), schema)
 
 
 def _sums(stored: DataFrame, nearest: Nearest, size: int) -> DataFrame:
@@ -166,6 +167,6 @@ def _sums(stored: DataFrame, nearest: Nearest, size: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * size, sums[some].ravel())
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some]), lists], names=["cluster", "n", "sums"])
 
-    parts = stored.mapInArrow(run, "cluster int, n long, sums array<long>")
+    parts = stored.mapInArrow(tidied(run), "cluster int, n long, sums array<long>")
     added = [F.sum(F.get("sums", F.lit(i))) for i in range(size)]
     return parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.array(*added).alias("sums"))

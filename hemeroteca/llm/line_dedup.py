@@ -1,17 +1,20 @@
 """Line dedup by content-defined chunks.
 
-A rolling hash over the last lines ends a chunk wherever its value says so, so a passage is cut alike wherever it
-stands, and what is put in before it shifts no later boundary. Chunks of several lines that occur again anywhere
-in the corpus are removed, but for the first one, after their bytes were found equal.
+A hash rolls over the lines of a text and ends a chunk at every line where its value says so, so a passage is cut
+alike wherever it stands, and what is put in before it shifts no later boundary. A chunk reaches from one such line to
+the next, both included, so neighbouring chunks overlap and no pair of lines lies between two of them. Chunks of
+several lines that occur earlier in the corpus are removed, after their bytes were found equal.
 
-Only documents that hold a chunk whose hash repeats are shuffled, the others never leave their place.
+How many lines end a chunk is a parameter. At one in one, as in the query, all of them do: chunks are as short as can
+be, and a repeated passage goes to its very ends whatever surrounds it. At one in n, fewer and longer chunks are
+compared, and what lies between a passage's end and the nearest boundary inside it stays.
 
-``drop_passages`` leaves no repeated passage of several lines: it goes by every two neighbouring lines instead of chunks.
+Only documents that hold a chunk whose hash repeats are shuffled, the others never leave their place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import pairwise
 
 import pyarrow as pa
@@ -19,126 +22,76 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemeroteca.llm.batches import fresh, slices, split_by_keys, with_columns
-from hemeroteca.operators.prefilter import KeyFilter
+from hemeroteca.llm.batches import fresh, slices, split_by_keys, tidied, with_columns
 from hemeroteca.sources.writers import materialise
 
-#: Lines that the rolling hash spans; one line in so many ends a chunk.
-SPAN, ONE_IN = 2, 4
 _FACTOR, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
-_LEAVES = pow(_FACTOR, SPAN, 1 << 64)
-
-
-def chunks(text: str) -> list[list[str]]:
-    """The lines of a text, cut into chunks."""
-    out: list[list[str]] = [[]]
-    rolling, window = 0, [0] * SPAN
-    for number, line in enumerate(text.split("\n")):
-        new = xxhash.xxh3_64_intdigest(line)
-        rolling = (rolling * _FACTOR + new - window[number % SPAN] * _LEAVES) & _WORD
-        window[number % SPAN] = new
-        out[-1].append(line)
-        if (rolling ^ rolling >> 29) * _FACTOR >> 40 & 0xFFFF < 0x10000 // ONE_IN:
-            out.append([])
-    if not out[-1]:
-        out.pop()
-    return out
 
 
-def several_lines(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(number, hash, bytes) of the chunks that have two lines or more with something in them."""
-    for number, lines in enumerate(chunks(text)):
-        if sum(not line.isspace() and line != "" for line in lines) > 1:
-            chunk = "\n".join(lines).encode()
-            yield number, xxhash.xxh3_64_intdigest(chunk) - (1 << 63), chunk
+def boundaries(lines: list[bytes], worded: list[int], one_in: int) -> list[int]:
+    """The lines that end a chunk and begin the next: one in so many, by a hash rolled over ``one_in - 1`` lines and it.
+
+    A hash over a single line is the line's own, and at one in one no line is passed over.
+    """
+    if one_in == 1:
+        return worded
+    window, rolling = [0] * one_in, 0
+    leaves = pow(_FACTOR, one_in, 1 << 64)
+    out = []
+    for number, line in enumerate(worded):
+        new = xxhash.xxh3_64_intdigest(lines[line])
+        rolling = (rolling * _FACTOR + new - window[number % one_in] * leaves) & _WORD
+        window[number % one_in] = new
+        if (rolling ^ rolling >> 29) * _FACTOR >> 40 & 0xFFFF < 0x10000 // one_in:
+            out.append(line)
+    return out
 
 
-def line_pairs(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(first line's number, hash, bytes) of every two neighbouring lines with something in them, and blank ones between."""
+def line_chunks(text: str, one_in: int = 1) -> Iterator[tuple[int, int, bytes]]:
+    """(first line's number, hash, bytes) of every chunk; it begins and ends with a line that has something in it."""
     coded = text.encode().split(b"\n")
     worded = [number for number, line in enumerate(text.split("\n")) if line and not line.isspace()]
-    for i, j in pairwise(worded):
-        pair = b"\n".join(coded[i : j + 1])
-        yield i, xxhash.xxh3_64_intdigest(pair) - (1 << 63), pair
+    for i, j in pairwise(boundaries(coded, worded, one_in)):
+        chunk = b"\n".join(coded[i : j + 1])
+        yield i, xxhash.xxh3_64_intdigest(chunk) - (1 << 63), chunk
 
 
-def _listed(
-    docs: DataFrame, with_bytes: bool, parts_of: Callable[[str], Iterator[tuple[int, int, bytes]]] = several_lines
-) -> DataFrame:
-    """``doc``, ``n``, ``hash`` and, if asked for, ``chunk`` of every chunk of several lines, or pair of lines."""
+def _listed(docs: DataFrame, with_bytes: bool, one_in: int) -> DataFrame:
+    """``doc``, ``n``, ``hash`` and, if asked for, ``chunk`` of every chunk."""
     names = ["doc", "n", "hash", *["chunk"] * with_bytes]
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [(doc, *c[: len(names) - 1]) for doc, t in zip(*map(pa.Array.to_pylist, part.columns), strict=True) for c in parts_of(t)]
+                rows = [(doc, *c[: len(names) - 1]) for doc, t in zip(*map(pa.Array.to_pylist, part.columns), strict=True) for c in line_chunks(t, one_in)]
                 columns = list(zip(*rows, strict=True)) or [()] * len(names)
                 types = [part.schema.field(0).type, pa.int32(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc {kind}, n int, hash long" + ", chunk binary" * with_bytes)
-
+    return docs.mapInArrow(tidied(run), f"doc {kind}, n int, hash long" + ", chunk binary" * with_bytes)
 
-def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed_chunks") -> DataFrame:
-    """``text`` without the chunks that occur earlier, by key and place; adds ``removed``, their numbers.
-
-    Lines of the chunks that stay keep their order. A text may end up empty; no row is lost. A null text stays null,
-    and rows with a null key are neither changed nor counted. Rows that share a key and a text count as one. A
-    column named like ``removed`` is replaced, others pass unchanged. An empty table stays one.
-    """
-    docs = docs.drop(removed)
-    own = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
-    light = materialise(_listed(own, with_bytes=False), "light")
-    again = materialise(light.groupBy("hash").count().where("count > 1").select("hash"), "hashes")
-    holders = materialise(light.join(again, "hash", "left_semi").select("doc").distinct(), "holders")
-    held = split_by_keys(own, "doc", holders, "doc")[0].join(holders, "doc", "left_semi")
-    found = materialise(_listed(held, with_bytes=True).join(again, "hash", "left_semi"), "chunks")
-    # Groups of equal bytes: the byte comparison.
-    first = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc", "n")).alias("first"), F.count("*").alias("times"))
-    first = materialise(first.where("times > 1").drop("times"), "first")
-    later = found.join(first, ["hash", "chunk"]).where("struct(doc, n) != first")
-    listed, same = fresh(docs, "listed"), fresh(docs, "doc")
-    gone = materialise(later.groupBy(F.col("doc").alias(same)).agg(F.collect_set(F.struct("n", "hash")).alias(listed)), "gone")
-    touched, rest = split_by_keys(docs, key, gone, same)
-    rows = touched.join(gone, F.col(key) == F.col(same), "left").drop(same)
-    both = fresh(rows, "both")
-    rows = rows.withColumn(both, F.struct(F.col(text).alias("text"), F.col(listed).alias("listed")))
-
-    def work(pairs: pa.Array) -> dict[str, pa.Array]:
-        texts, numbers = [], []
-        for pair in pairs.to_pylist():
-            t, dropped = pair["text"], set()
-            if t is not None and pair["listed"]:
-                wanted = {(x["n"], x["hash"]) for x in pair["listed"]}
-                dropped = {n for n, h, _ in several_lines(t) if (n, h) in wanted}
-                t = "\n".join(line for n, lines in enumerate(chunks(t)) if n not in dropped for line in lines)
-            texts.append(t)
-            numbers.append(sorted(dropped))
-        return {text: pa.array(texts, pa.string()), removed: pa.array(numbers, pa.list_(pa.int32()))}
-
-    made = with_columns(rows, both, {text: "string", removed: "array<int>"}, work, size_by=text)
-    return made.select(*docs.columns, removed).union(rest.withColumn(removed, F.array().cast("array<int>")))
 
+def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed_lines", one_in: int = 1) -> DataFrame:
+    """``text`` without the chunks that stand earlier, by key and place; adds ``removed``, the numbers of their lines.
 
-def drop_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed_lines") -> DataFrame:
-    """``text`` without passages that stand earlier, by key and place; adds ``removed``, the numbers of their lines.
+    At one in one, a passage is any run of lines, two of them or more with something in them; it goes from its first
+    such line to its last. So a line goes if it and its neighbour stand together earlier, whatever surrounds them; the
+    chunk's first occurrence is no reason to remove it, and no line's last copy goes. Passages of one line stay.
 
-    A passage is any run of lines, two of them or more with something in them; it goes from its first such line to its
-    last. So a line goes if it and its neighbour stand together earlier, whatever surrounds them; the pair's first
-    occurrence is no reason to remove it, and no line's last copy goes. For null texts and keys, rows that share a
-    key, other columns and empty tables, ``drop_repeats`` holds.
+    A text may end up empty; no row is lost. A null text stays null, and rows with a null key are neither changed nor
+    counted. Rows that share a key and a text count as one. A column named like ``removed`` is replaced, others pass
+    unchanged. An empty table stays one.
     """
     docs = docs.drop(removed)
     own = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
-    light = materialise(_listed(own, with_bytes=False, parts_of=line_pairs), "light")
+    light = materialise(_listed(own, with_bytes=False, one_in=one_in), "light")
     again = materialise(light.groupBy("hash").count().where("count > 1").select("hash"), "hashes")
-    may_repeat = KeyFilter(again, "hash").may_hold(F.col("hash"))
-    repeats = materialise(light.where(may_repeat).join(again, "hash", "left_semi"), "repeats")
+    repeats = materialise(split_by_keys(light, "hash", again, "hash")[0].join(again, "hash", "left_semi"), "repeats")
     holders = materialise(repeats.select("doc").distinct(), "holders")
     held = split_by_keys(own, "doc", holders, "doc")[0]
-    # Groups of equal bytes: the byte comparison. Pairs that only pass the filter are alone in theirs.
-    found = _listed(held, with_bytes=True, parts_of=line_pairs).where(may_repeat)
+    # Groups of equal bytes: the byte comparison. Chunks that only pass the filter are alone in theirs.
+    found = split_by_keys(_listed(held, with_bytes=True, one_in=one_in), "hash", again, "hash")[0]
     groups = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc", "n")).alias("first"))
     last = F.length("chunk") - F.length(F.translate(F.col("chunk").cast("string"), "\n", "")) + F.col("first.n")
     groups = groups.withColumn("last", last)
@@ -152,7 +105,7 @@ def drop_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", remo
     if not mixed.isEmpty():
         plain = plain.union(unlike)
     later = plain.where("struct(doc, n) != first")
-    # A pair that starts with the last line of its first occurrence leaves that line to it.
+    # A chunk that starts with the last line of its first occurrence leaves that line to it.
     shares = F.expr("doc = first.doc and n = last").alias("shares")
     listed, same = fresh(docs, "listed"), fresh(docs, "doc")
     gone = later.select(F.col("doc").alias(same), "n", "hash", shares)
@@ -168,7 +121,7 @@ def drop_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", remo
             t, dropped = row["text"], set()
             if t is not None and row["listed"]:
                 wanted = {(x["n"], x["hash"]): x["shares"] for x in row["listed"]}
-                for n, h, chunk in line_pairs(t):
+                for n, h, chunk in line_chunks(t, one_in):
                     if (shared := wanted.get((n, h))) is not None:
                         dropped.update(range(n + shared, n + 1 + chunk.count(b"\n")))
                 t = "\n".join(line for n, line in enumerate(t.split("\n")) if n not in dropped)

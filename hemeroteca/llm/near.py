@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemeroteca.llm.batches import slices
+from hemeroteca.llm.batches import slices, tidied
 from hemeroteca.sources.writers import materialise
 
 WORDS = 5
@@ -92,7 +92,7 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "digest", "registers"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary")
+    return rows.mapInArrow(tidied(run), "doc_id long, n_shingles long, digest binary, registers binary")
 
 
 def _log_share(x: np.ndarray) -> np.ndarray:
@@ -135,7 +135,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, alike: float) -> DataFrame:
 
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     sized = pairs.join(a, "a").join(b, "b").where(least * ALIKE[1] >= most * ALIKE[0])
-    return sized.mapInPandas(run, "a long, b long")
+    return sized.mapInPandas(tidied(run), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep[i] = ALIKE[1] * both >= ALIKE[0] * (len(own) + len(other) - both)
             yield pdf.loc[keep, ["a", "b"]]
 
-    return pairs.join(b, "b").join(a, "a").mapInPandas(run, "a long, b long")
+    return pairs.join(b, "b").join(a, "a").mapInPandas(tidied(run), "a long, b long")
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def _prefixes(texts: DataFrame, chosen: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
                 yield pa.RecordBatch.from_arrays([part.column("node"), lists], names=["node", "tokens"])
 
-    sets = texts.join(chosen, "node", "left_semi").mapInArrow(run, "node long, tokens array<long>")
+    sets = texts.join(chosen, "node", "left_semi").mapInArrow(tidied(run), "node long, tokens array<long>")
     tokens = materialise(sets, "tokens").select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = materialise(tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"), "often")
     listed = tokens.join(often, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("own"))

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hemeroteca.llm.batches import slices
+from hemeroteca.llm.batches import give_back, slices
 from hemeroteca.llm.bpe import word_encoder
 
 #: Rows are handed on in batches of about this many bytes of ids.
@@ -90,10 +90,11 @@ def pack(
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encoder, kinds = word_encoder(tokenizer), {}
+        kinds = {}
         first = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
 
         def documents():
+            encoder = word_encoder(tokenizer)
             for batch in batches:
                 kinds["key"] = batch.schema.field(0).type
                 for part in slices(batch, text):
@@ -105,17 +106,23 @@ def pack(
             types = [kinds["key"], pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
-        held, size = [], 0
-        for number, sequence in enumerate(fill(documents(), capacity, slack), first):
-            offset = 0
-            for doc_id, start, ids, tokens in sequence:
-                held.append((doc_id, start, len(ids) // 4, ids, tokens, number, offset))
-                offset += len(ids) // 4
-            size += 4 * offset
-            if size >= FLUSH_BYTES:
+        def batches_of_pieces():
+            held, size = [], 0
+            for number, sequence in enumerate(fill(documents(), capacity, slack), first):
+                offset = 0
+                for doc_id, start, ids, tokens in sequence:
+                    held.append((doc_id, start, len(ids) // 4, ids, tokens, number, offset))
+                    offset += len(ids) // 4
+                size += 4 * offset
+                if size >= FLUSH_BYTES:
+                    yield table(held)
+                    held, size = [], 0
+            if held:
                 yield table(held)
-                held, size = [], 0
-        if held:
-            yield table(held)
+
+        try:
+            yield from batches_of_pieces()
+        finally:
+            give_back(word_encoder)
 
     return rows.mapInArrow(run, schema)

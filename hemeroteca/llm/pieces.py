@@ -300,7 +300,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", ke
         return {ids: pa.array(found, pa.binary()) if packed else id_lists(found)}
 
     kind = "binary" if packed else "array<int>"
-    return with_columns(docs, text, {ids: kind}, work, drop=() if keep_text else (text,), limit=SLICE)
+    return with_columns(docs, text, {ids: kind}, work, drop=() if keep_text else (text,), limit=SLICE, caches=(piece_model,))
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -321,4 +321,4 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "text") ->
                 out.append(own.decode(np.frombuffer(row.as_py(), np.int32)))
         return {text: pa.array(out, pa.string())}
 
-    return with_columns(rows, ids, {text: "string"}, work, limit=SLICE)
+    return with_columns(rows, ids, {text: "string"}, work, limit=SLICE, caches=(piece_model,))

@@ -16,6 +16,7 @@ from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hemeroteca.llm.batches import with_columns
 
@@ -167,15 +168,37 @@ def date(text: str, key: bytes) -> str | None:
     return _date(text, key, "dmy") or _date(text, key, "mdy")
 
 
+@lru_cache(400)
+def _letters(block: int, paired: bool = True) -> str:
+    """The letters of a block of 128 code points: small ones that have one capital each, or all that have no such pair."""
+    own = [chr(n) for n in range(128 * block, 128 * block + 128) if chr(n).isalpha()]
+    small = [c for c in own if _small(c.upper()) == c != c.upper()]
+    return "".join(small if paired else [c for c in own if c not in small and _small(c) == c])
+
+
+def _small(c: str) -> str:
+    """The small letter of a capital that it alone belongs to; else the character itself."""
+    low = c.lower()
+    return low if len(c) == len(low) == 1 and low.upper() == c else c
+
+
 def email(text: str, key: bytes) -> str | None:
-    """The part before the ``@``: its letters and digits, case and punctuation in place, differ with the whole address."""
+    """The part before the ``@``, punctuation in place. Digits, and the letters of each block of Unicode, are permuted
+    among their like. Capitals count as small letters and are put back where they stood, so spellings of one address
+    stay linked."""
     local, _, domain = text.rpartition("@")
-    for alphabet, name in ((DIGITS, "digits"), (LOWER, "lower"), (UPPER, "upper")):
-        own = "".join(c for c in local if c in alphabet)
-        if own:
-            new = iter(permuted(own, alphabet, key, f"mail {name}"))
-            local = "".join(next(new) if c in alphabet else c for c in local)
-    return f"{local}@{domain}"
+    small, places = [_small(c) for c in local], {}
+    for i, c in enumerate(small):
+        if c in DIGITS:
+            places.setdefault((DIGITS, "digits"), []).append(i)
+        elif c.isalpha():
+            block, paired = ord(c) // 128, c in _letters(ord(c) // 128)
+            name = "lower" if block == 0 else f"block {block}" if paired else f"block {block}, no pairs"
+            places.setdefault((_letters(block, paired), name), []).append(i)
+    for (alphabet, name), own in places.items():
+        for i, c in zip(own, permuted("".join(small[i] for i in own), alphabet, key, f"mail {name}"), strict=True):
+            small[i] = c.upper() if local[i] != small[i] else c
+    return f"{''.join(small)}@{domain}"
 
 
 def credential(text: str, key: bytes) -> str | None:
@@ -187,7 +210,7 @@ def credential(text: str, key: bytes) -> str | None:
 
 # Formats, the first one that fits and is valid decides.
 FORMATS = (
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
+    ("email", r"(?<![\w.%+-])[\w.%+-]++@[^\W_](?:[^\W_]|-(?=[^\W_]|-))*+(?:\.[^\W_](?:[^\W_]|-(?=[^\W_]|-))*+)*\.[^\W\d_]{2,}", email),
     ("credential", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])", credential),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("ip", r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])", ip_address),
@@ -237,7 +260,7 @@ def _card_spans(hit: re.Match) -> list[tuple[int, int]]:
     inner = []
     for i, (start, _) in enumerate(groups):
         digits, here = 0, []
-        for own_start, end in groups[i:]:
+        for own_start, end in groups[i : i + 20]:
             digits += end - own_start
             if digits > 19:
                 break
@@ -257,12 +280,14 @@ def find(text: str, key: bytes) -> list[tuple[str, int, int, str]]:
     if not _LIKELY.search(text):
         return []
     found: list[tuple[str, int, int, str]] = []
+    covered = bytearray(len(text))
 
     def taken(form: int, start: int, end: int) -> bool:
-        if any(start < s + n and s < end for _, s, n, _ in found):
+        if covered.find(1, start, end) >= 0:
             return False
         if (new := _pseudonym(form, text[start:end], key)) is not None:
             found.append((_COMPILED[form][0], start, end - start, new))
+            covered[start:end] = b"\1" * (end - start)
         return new is not None
 
     for form, (kind, pattern, _) in enumerate(_COMPILED):
@@ -274,7 +299,7 @@ def find(text: str, key: bytes) -> list[tuple[str, int, int, str]]:
                     taken(form, *span)
             elif (end := next((e for s, e in _SPANS.get(kind, _whole)(hit) if taken(form, s, e)), None)) is not None:
                 at = end
-            else:
+            elif kind != "email":
                 at = hit.start() + 1
     return sorted(found, key=lambda f: f[1])
 
@@ -283,7 +308,13 @@ def _whole(hit: re.Match) -> list[tuple[int, int]]:
     return [hit.span()]
 
 
-_SPANS = {"iban": _iban_spans, "phone": _ends}
+def _address(hit: re.Match) -> list[tuple[int, int]]:
+    """An address starts with a letter or digit."""
+    start = hit.end() - len(hit[0].lstrip("._%+-"))
+    return [(start, hit.end())] if hit.string[start] != "@" else []
+
+
+_SPANS = {"email": _address, "iban": _iban_spans, "phone": _ends}
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", found: str = "pii") -> DataFrame:
@@ -308,5 +339,6 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", found: str = "
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("length", pa.int32()), ("pseudonym", pa.string())]))
         return {text: pa.array(new_texts, pa.string()), found: pa.array(lists, kind)}
 
-    order = docs.columns
-    return with_columns(docs, text, {text: "string", found: FOUND}, work).select(*[c for c in order if c != found], found)
+    order = [c for c in docs.columns if c.lower() != found.lower()]
+    made = with_columns(docs, text, {text: "string", found: FOUND}, work, caches=(_pseudonym, _letters))
+    return made.select(*[F.col(f"`{c}`") for c in order], found)

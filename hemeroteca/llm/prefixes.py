@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hemeroteca.llm.batches import tidied
 from hemeroteca.sources.writers import materialise
 
 #: Neighbouring conversation ids in one shard, and so bits in a bitset.
@@ -168,7 +169,7 @@ def shard_nodes(turns: DataFrame) -> DataFrame:
         kinds = [pa.binary(), pa.binary(), *[pa.int64()] * 9, pa.list_(pa.int64())]
         yield from _batches(nodes(), kinds, [n.split()[0] for n in NODES.split(", ")])
 
-    return dealt.mapInArrow(run, NODES)
+    return dealt.mapInArrow(tidied(run), NODES)
 
 
 def _owned_sums(nodes: DataFrame) -> DataFrame:
@@ -199,7 +200,7 @@ def _owned_sums(nodes: DataFrame) -> DataFrame:
         kinds = [pa.binary(), *[pa.int64()] * 7]
         yield from _batches(sums(), kinds, [n.split()[0] for n in SUMS.split(", ")])
 
-    return dealt.mapInArrow(run, SUMS)
+    return dealt.mapInArrow(tidied(run), SUMS)
 
 
 def _end_lists(nodes: DataFrame) -> DataFrame:
@@ -223,7 +224,7 @@ def _end_lists(nodes: DataFrame) -> DataFrame:
 
         yield from _batches(hashes(), [pa.binary(), pa.string()], ["key", "ends_sha256"])
 
-    return dealt.mapInArrow(run, "key binary, ends_sha256 string")
+    return dealt.mapInArrow(tidied(run), "key binary, ends_sha256 string")
 
 
 def trie(

@@ -18,8 +18,10 @@ from hemeroteca.sources.writers import materialise
 
 #: Bits of a bitmap that the bitmap functions make: 4 KB.
 BITMAP_BITS = 32_768
-#: Filters up to this many bytes in all travel with the query; a longer list is joined instead.
+#: Filters of one cascade are planned to have this many bytes at most; more keys are dealt to several cascades.
 MOST_FILTER_BYTES = 8 << 20
+#: Share of unlisted keys that pass a level of 12 bits a key and 4 hashes, with room to spare.
+PASSING = 0.03
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,18 +58,19 @@ class Level:
         self.seed, self.hashes = seed, hashes
         self.bitmaps = -(-count * bits_per_key // BITMAP_BITS)
         self.bits = self.bitmaps * BITMAP_BITS
-        at = keys.select(F.explode(F.array(*self.positions(F.col("key")))).alias("at"))
+        at = keys.select(F.explode(self.positions(F.col("key"))).alias("at"))
         made = at.groupBy(F.expr(f"at div {BITMAP_BITS}").alias("n")).agg(
             F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("bitmap")
         )
         found = {r["n"]: bytes(r["bitmap"]) for r in made.collect()}  # as many rows as the checked size has bitmaps
         self.bytes = b"".join(found.get(n, bytes(BITMAP_BITS // 8)) for n in range(self.bitmaps))
 
-    def positions(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(self.seed), F.lit(i), key), F.lit(self.bits)) for i in range(self.hashes)]
+    def positions(self, key: Column) -> Column:
+        return F.array(*[F.pmod(F.xxhash64(F.lit(self.seed), F.lit(i), key), F.lit(self.bits)) for i in range(self.hashes)])
 
     def holds(self, key: Column) -> Column:
-        return reduce(lambda a, b: a & b, (self.bit(at) for at in self.positions(key)))
+        """Whether all bits of the key are set; the expression has the bits once, whatever the number of hashes."""
+        return F.forall(self.positions(key), self.bit)
 
     def bit(self, at: Column) -> Column:
         """Whether the bit is set; a bitmap's bytes are filled from the lowest bit."""
@@ -76,39 +79,55 @@ class Level:
 
 
 class Cascade:
-    """Exact membership in ``listed`` for every key of ``universe``."""
+    """Exact membership in ``listed`` for every key of ``universe``.
+
+    Keys are dealt by hash to as many groups as keep each group's filters to ``MOST_FILTER_BYTES``; each has its own
+    levels. So the filters of a group are bounded whatever the number of keys, and no list is joined with the rows.
+    """
 
     def __init__(self, listed: DataFrame, universe: DataFrame, bits_per_key: int = 12, hashes: int = 4):
         """Both have the one column ``key``; nulls don't count. Listed keys outside the universe don't matter."""
-        known = universe.where("key is not null").distinct()
-        marked = listed.where("key is not null").distinct().withColumn("listed", F.lit(True))
-        keys = materialise(known.join(marked, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "keys")
-        inside, outside = keys.where("listed"), keys.where("not listed")
-        self.levels: list[Level] = []
-        self.joined: DataFrame | None = None
+        known = materialise(universe.where("key is not null").distinct(), "universe")
+        wanted = materialise(listed.where("key is not null").distinct(), "listed")
+        keys = wanted.count() + PASSING * known.count()
+        self.groups = max(1, -(-int(keys * bits_per_key / 8) // MOST_FILTER_BYTES))
+        self.bits_per_key, self.hashes = bits_per_key, hashes
+        self.levels = [self._built(wanted.where(self.of(F.col("key")) == n), known.where(self.of(F.col("key")) == n)) for n in range(self.groups)]
+
+    def of(self, key: Column) -> Column:
+        """The key's group."""
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(self.groups))
+
+    def _built(self, wanted: DataFrame, known: DataFrame) -> list[Level]:
+        """The levels of one group. Only the keys that pass the first level are told apart by a join."""
+        count = wanted.count()
+        if not count:
+            return []
+        levels = [Level(wanted, count, 0, self.bits_per_key, self.hashes)]
+        passed = known.where(levels[0].holds(F.col("key"))).join(wanted.withColumn("listed", F.lit(True)), "key", "left")
+        passed = materialise(passed.select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "passed")
+        inside, outside = passed.where("not listed"), passed.where("listed")
         while count := inside.count():
-            held = sum(len(level.bytes) for level in self.levels)
-            if held + count * bits_per_key / 8 > MOST_FILTER_BYTES:
-                self.joined = keys.where("listed").select("key")
-                break
-            level = Level(inside, count, len(self.levels), bits_per_key, hashes)
-            self.levels.append(level)
+            level = Level(inside, count, len(levels), self.bits_per_key, self.hashes)
+            levels.append(level)
             inside, outside = outside.where(level.holds(F.col("key"))), inside
+        return levels
 
-    def holds(self, key: Column) -> Column:
-        """Whether a key of the universe is listed."""
-        out = F.lit(len(self.levels) % 2 == 1)
-        for depth in range(len(self.levels), 0, -1):
-            out = F.when(~self.levels[depth - 1].holds(key), F.lit(depth % 2 == 0)).otherwise(out)
+    @staticmethod
+    def _holds(levels: list[Level], key: Column) -> Column:
+        out = F.lit(len(levels) % 2 == 1)
+        for depth in range(len(levels), 0, -1):
+            out = F.when(~levels[depth - 1].holds(key), F.lit(depth % 2 == 0)).otherwise(out)
         return out
 
     def mark(self, rows: DataFrame, key: Column, name: str) -> DataFrame:
-        """Add the boolean ``name``. Only a list too long for the filters is joined; its keys are distinct."""
-        if self.joined is None:
-            return rows.withColumn(name, F.coalesce(self.holds(key), F.lit(False)))
-        own, hit = fresh(rows, "own_key"), fresh(rows, "hit")
-        longer = self.joined.select(F.col("key").alias(own), F.lit(True).alias(hit))
-        return rows.join(longer, key == F.col(own), "left").withColumn(name, F.coalesce(hit, F.lit(False))).drop(own, hit)
+        """Add the boolean ``name``: whether a key of the universe is listed. A null key isn't."""
+        if self.groups == 1:
+            return rows.withColumn(name, F.coalesce(self._holds(self.levels[0], key), F.lit(False)))
+        # Each group reads the rows; those without a key are in the group of null.
+        own = F.coalesce(self.of(key), F.lit(0))
+        parts = [rows.where(own == n).withColumn(name, F.coalesce(self._holds(levels, key), F.lit(False))) for n, levels in enumerate(self.levels)]
+        return reduce(DataFrame.unionAll, parts)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFrame, url: str = "url", blocked: str = "block", other: str = "allow") -> DataFrame:

@@ -1,57 +1,13 @@
-"""Chunks and their removal against a plain version."""
+"""Repeated passages against trying all runs of lines."""
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from hemeroteca.llm import line_dedup, queries
 
 
-def plain(rows):
-    """Texts after removal, one chunk after the other in order of key and place."""
-    seen, out = set(), {}
-    for doc, text in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
-        kept = []
-        for lines in line_dedup.chunks(text):
-            chunk = "\n".join(lines)
-            several = sum(bool(x) and not x.isspace() for x in lines) > 1
-            if several and chunk in seen:
-                continue
-            if several:
-                seen.add(chunk)
-            kept += lines
-        out[doc] = "\n".join(kept)
-    return out
-
-
-def test_chunks_resist_shifts():
-    rnd = random.Random(1)
-    passage = [f"line {rnd.random()}" for _ in range(60)]
-    heads = [[f"head {rnd.random()}" for _ in range(n)] for n in (0, 1, 2, 5, 9)]
-    cut = [{"\n".join(c) for c in line_dedup.chunks("\n".join([*h, *passage]))} for h in heads]
-    assert len(set.intersection(*cut)) >= len(cut[0]) - 2
-    for text in ("", "a", "\n", "a\n\nb\n", "\n".join(passage)):
-        assert "\n".join(x for c in line_dedup.chunks(text) for x in c) == text
-
-
-def test_removal(spark):
-    rnd = random.Random(2)
-    pool = ["\n".join(f"line {rnd.randrange(10**6)}" for _ in range(12)) for _ in range(6)]
-    texts = [None, "", "\n\n\n", *("\n".join(rnd.sample(pool, 3) + [f"own {i}"]) for i in range(30)), pool[0], pool[0], "x\ny\n" * 9000]
-    rows = list(enumerate(texts))
-    docs = spark.createDataFrame([(i, t, "s", 4) for i, t in rows], "doc_id long, text string, hash string, n int").repartition(5)
-    got = line_dedup.drop_repeats(docs).collect()
-    assert {r.doc_id: r.text for r in got if r.text is not None} == plain(rows)
-    assert sum(bool(r.removed_chunks) for r in got) > 20 and len(got) == len(rows) and got[0].hash == "s"
-    assert line_dedup.drop_repeats(docs.limit(0)).collect() == []
-    none = spark.createDataFrame([(None, pool[1]), (None, pool[1]), (1, pool[1]), (1, pool[1])], "doc_id long, text string")
-    assert [r.text for r in line_dedup.drop_repeats(none).collect()] == [pool[1]] * 4
-
-
-def test_query(spark, sf):
-    rows = [(r.doc_id, r.text) for r in queries.table(spark, sf, "documents").collect()]
-    assert {r.doc_id: r.text for r in queries.op6_line_dedup(spark, sf).collect()} == plain(rows)
-
-
 def runs_removed(rows):
     """Texts without any run of lines, two or more with something in them, that stands earlier; by trying all runs."""
     at, out = {}, {}
@@ -95,19 +51,76 @@ def test_planted_passages_go_to_their_ends(spark):
         assert not set(passages[doc % len(passages)]) & set(want[doc].split("\n")) - {""}
     lost = {x for _, t in rows for x in t.split("\n") if x.strip()} - {x for t in got.values() for x in t.split("\n")}
     assert not lost
-    assert line_dedup.drop_passages(docs.limit(0)).collect() == []
+    assert line_dedup.drop_repeats(docs.limit(0)).collect() == []
+
+
+def test_chunks_resist_shifts():
+    rnd = random.Random(1)
+    passage = [f"line {rnd.random()}" for _ in range(60)]
+    heads = [[f"head {rnd.random()}" for _ in range(n)] for n in (0, 1, 2, 5, 9)]
+    for one_in, lost in ((1, 0), (2, 3), (4, 6)):
+        cut = [{c for _, _, c in line_dedup.line_chunks("\n".join([*h, *passage]), one_in)} for h in heads]
+        assert len(set.intersection(*cut)) >= len(cut[0]) - lost
+        assert len(cut[0]) < 60 / one_in * 1.7 + 1
+    pairs = [c for _, _, c in line_dedup.line_chunks("a\n\nb\n \nc\n")]
+    assert pairs == [b"a\n\nb", b"b\n \nc"]
+    for text in ("", "a", "\n", " \n\t"):
+        assert not list(line_dedup.line_chunks(text))
+
+
+def test_odd_rows(spark):
+    rnd = random.Random(2)
+    pool = ["\n".join(f"line {rnd.randrange(10**6)}" for _ in range(12)) for _ in range(6)]
+    texts = [None, "", "\n\n\n", *("\n".join(rnd.sample(pool, 3) + [f"own {i}"]) for i in range(30)), pool[0], pool[0], "x\ny\n" * 9000]
+    docs = spark.createDataFrame([(i, t, "s", 4) for i, t in enumerate(texts)], "doc_id long, text string, HASH string, Removed_Lines int").repartition(5)
+    got = {r.doc_id: r for r in line_dedup.drop_repeats(docs).collect()}
+    want = runs_removed([(i, t) for i, t in enumerate(texts[:-1]) if t is not None])
+    assert {i: got[i].text for i in want} == want
+    assert got[0].text is None and got[0].HASH == "s" and len(got) == len(texts)
+    assert got[len(texts) - 1].text.split("\n")[:2] == ["x", "y"] and len(got[len(texts) - 1].text) < 10
+    assert line_dedup.drop_repeats(docs.limit(0)).collect() == []
+    none = spark.createDataFrame([(None, pool[1]), (None, pool[1]), (1, pool[1]), (1, pool[1])], "doc_id long, text string")
+    assert [r.text for r in line_dedup.drop_repeats(none).collect()] == [pool[1]] * 4
+
+
+def test_many_keys_are_met_in_groups(spark, monkeypatch):
+    from hemeroteca.operators import prefilter
+
+    rows = [(i, "\n".join(f"line {(i % 900) * 3 + k}" for k in range(8)) + f"\nown {i}") for i in range(2700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted(map(tuple, line_dedup.drop_repeats(docs).select("doc_id", "text").collect()))
+    monkeypatch.setattr(prefilter, "MOST_BITMAPS", 1)
+    monkeypatch.setattr(prefilter, "BITS_PER_KEY", 24)
+    assert sorted(map(tuple, line_dedup.drop_repeats(docs).select("doc_id", "text").collect())) == want
+
+
+@pytest.mark.parametrize("query", [queries.op6_line_dedup, queries.op6_passage_dedup])
+def test_queries(spark, sf, query):
+    rows = [(r.doc_id, r.text) for r in queries.table(spark, sf, "documents").collect()]
+    want = runs_removed([(d, t) for d, t in rows if t is not None])
+    got = {r.doc_id: r.text for r in query(spark, sf).collect()}
+    assert len(got) == len(rows)
+    assert {d: got[d] for d in want} == want
+
+
+def test_fewer_boundaries_take_no_more(spark, sf):
+    docs = queries.table(spark, sf, "documents").select("doc_id", "text")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    want = runs_removed([(d, t) for d, t in rows.items() if t is not None])
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeats(docs, one_in=2).collect()}
+    assert all(len(want[d]) <= len(got[d]) <= len(rows[d]) for d in want)
 
 
 def test_passages_with_colliding_hashes(spark, monkeypatch):
     """The bytes decide where one hash stands on unlike pairs."""
 
-    def coarse(text):
-        for n, _, pair in whole(text):
+    def coarse(text, one_in):
+        for n, _, pair in whole(text, one_in):
             yield n, len(pair), pair
 
-    whole = line_dedup.line_pairs
-    monkeypatch.setattr(line_dedup, "line_pairs", coarse)
+    whole = line_dedup.line_chunks
+    monkeypatch.setattr(line_dedup, "line_chunks", coarse)
     rows = [(0, "aa\nbb\ncc"), (1, "dd\nee\nff"), (2, "aa\nbb\nzz"), (3, "qq\nee\nff")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.drop_passages(docs).collect()}
+    got = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.drop_repeats(docs).collect()}
     assert got == {0: (rows[0][1], []), 1: (rows[1][1], []), 2: ("zz", [0, 1]), 3: ("qq", [1, 2])}

@@ -88,6 +88,78 @@ def test_credentials():
     assert re.fullmatch('token = "[0-9a-f]{40}"', new := replaced(f'token = "{token}"')) and token not in new
 
 
+def test_addresses_of_any_letters_and_case():
+    for text in ("josé@example.com", "garcía.lópez@correo.es", "Øystein_99@mañana.example.org", "иван.петров@почта.рф", "ß.ſ.İ@x.example.net"):
+        new = replaced(f"an {text}, or")
+        local, domain = text.split("@")
+        own = new[3 : 3 + len(text)]
+        assert own.endswith("@" + domain) and new == f"an {own}, or" and len(own) == len(text)
+        assert all(not a.isalnum() or b.isalnum() for a, b in zip(local, own, strict=False)) and own != text
+    one, other = replaced("A.Bc9@x.com"), replaced("a.bC9@x.com")
+    assert one.lower() == other.lower() != "a.bc9@x.com" and one[0].isupper() and other[0].islower()
+    assert replaced("._%a.b@x.com")[:3] == "._%" and replaced("a@b") == "a@b" and replaced("@x.com ..@x.com") == "@x.com ..@x.com"
+    for block in range(600):
+        small, other = pii._letters(block), pii._letters(block, paired=False)
+        assert not set(small) & set(other) and all(pii._small(c.upper()) == c for c in small)
+        assert sorted(pii.permuted(c, small, KEY, "t") for c in small) == sorted(small)
+
+
+def test_planted_values_and_nothing_else_are_found():
+    """Values of every kind between words that are none, against where they were put."""
+    rnd = random.Random(11)
+
+    def digits(n):
+        return "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = rnd.choice("3456") + digits(14)
+        number = body + pii.luhn_digit(body)
+        return rnd.choice([number, " ".join(number[i : i + 4] for i in range(0, 16, 4)), "-".join(number[i : i + 4] for i in range(0, 16, 4))])
+
+    def iban():
+        body = digits(18)
+        return "DE" + pii.iban_checks("DE", body) + body
+
+    kinds = {
+        "email": lambda: f"{rnd.choice(['ana', 'Łukasz', 'j.p', 'x_1'])}{digits(2)}@mail{digits(1)}.example.{rnd.choice(['com', 'org'])}",
+        "card": card,
+        "iban": iban,
+        "ip": lambda: ".".join(str(rnd.randrange(256)) for _ in range(4)),
+        "date": lambda: f"{rnd.randrange(1900, 2100)}-{rnd.randrange(1, 13):02d}-{rnd.randrange(1, 29):02d}",
+        "social": lambda: f"{rnd.randrange(100, 600)}-{rnd.randrange(10, 99)}-{rnd.randrange(1000, 9999)}",
+        "phone": lambda: f"({rnd.randrange(200, 999)}) {rnd.randrange(200, 999)}-{digits(4)}",
+        "credential": lambda: "AKIA" + "".join(rnd.choice("ABCDEFGHIJ0123456789") for _ in range(16)),
+    }
+    words = ["the", "año", "x", "3", "in 1999", "no. 12", "v1.2", "@home", "a@b", "1,000.50", "C-3", "50%"]
+    for _ in range(300):
+        text, want = "", []
+        for _ in range(rnd.randrange(1, 12)):
+            text += rnd.choice(words) + rnd.choice([", ", "; ", " / ", "\n"])
+            kind = rnd.choice(list(kinds))
+            value = kinds[kind]()
+            want.append((kind, len(text), len(value)))
+            text += value + rnd.choice([", ", "; ", "\n"])
+        assert [f[:3] for f in pii.find(text, KEY)] == want, text
+
+
+def test_long_runs_and_many_values_take_linear_time():
+    import time
+
+    values = " ".join(f"u{i}@example.com 10.0.{i // 256 % 256}.{i % 256}" for i in range(50_000))
+    for text, hits in ((values, 100_000), ("x" * 1_000_000, 0), ("x" * 1_000_000 + "1", 0), ("7" * 1_000_000, 0), ("a." * 500_000 + "1", 0),
+                       ("a@" * 300_000, 0), ("a@a" * 300_000, 0), ("x@" + "a-" * 300_000, 0), ("x@" + "a." * 300_000 + "1", 1), ("AB12 " * 40_000, 0), ("1-" * 100_000, 0)):
+        started = time.perf_counter()
+        found = pii.find(text, KEY)
+        assert time.perf_counter() - started < 40, text[:20]
+        assert len(found) == hits or text[:2] in ("1-", "77", "x@"), (text[:20], len(found))
+
+
+def test_names_that_clash_in_any_case(spark):
+    docs = spark.createDataFrame([(1, "me@example.org", 3, "t")], "doc_id long, text string, PII int, Kind string")
+    got = pii.pseudonymise(docs, KEY)
+    assert got.columns == ["doc_id", "text", "Kind", "pii"] and got.first().pii[0].kind == "email"
+
+
 def test_frames(spark):
     texts = [None, "", "mail me@example.org", "mail me@example.org", "x " * 50_000 + "1.2.3.4"]
     docs = spark.createDataFrame([(i, t, 3) for i, t in enumerate(texts)], "doc_id long, text string, pii int")

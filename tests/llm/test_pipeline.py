@@ -41,7 +41,7 @@ def test_stages_take_odd_tables(spark, sf):
 
 def test_all_are_registered():
     numbered = {int(name[2:].split("_")[0]) for name in queries() if name.startswith("op") and name[2].isdigit()}
-    assert numbered == set(range(1, 11)) and "pipeline" in queries()
+    assert numbered == set(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("name", sorted(llm.ORACLES))

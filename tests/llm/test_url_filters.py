@@ -49,16 +49,39 @@ def test_judge(spark):
     assert {r.verdict for r in urls.judge(pages, [], listed.limit(0)).collect()} == {"allow"}
 
 
-@pytest.mark.parametrize("most", [urls.MOST_FILTER_BYTES, 0])
+@pytest.mark.parametrize("most", [urls.MOST_FILTER_BYTES, 2_000])
 def test_cascade_is_exact(spark, monkeypatch, most):
     monkeypatch.setattr(urls, "MOST_FILTER_BYTES", most)
     universe = spark.range(60_000).selectExpr("concat('k', id) key")
-    listed = universe.where("crc32(key) % 7 < 2")
+    listed = universe.where("crc32(key) % 7 < 2").union(spark.range(500).selectExpr("concat('elsewhere', id) key"))
     cascade = urls.Cascade(listed, universe, bits_per_key=2, hashes=2)
-    assert len(cascade.levels) > 2 or most == 0
+    assert all(len(levels) > 2 for levels in cascade.levels)
+    assert (cascade.groups > 1) == (most == 2_000)
+    # A level's share of passing keys is planned for 12 bits a key; with 2 bits, more pass.
+    assert all(sum(len(level.bytes) for level in levels) < 12 * max(most, 4096) for levels in cascade.levels)
     marked = cascade.mark(universe, universe.key, "in_list")
     assert marked.where("in_list != (crc32(key) % 7 < 2)").isEmpty()
     assert marked.count() == 60_000
+    nothing = universe.limit(3).selectExpr("cast(null as string) key")
+    assert [r.in_list for r in cascade.mark(nothing, nothing.key, "in_list").collect()] == [False] * 3
+    plan = marked._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in marked._jdf.queryExecution().executedPlan().toString().replace("RoundRobin", "")
+
+
+def test_levels_and_verdicts_of_the_method(spark, monkeypatch):
+    """The list isn't empty at any scale: a level or more, and both verdicts where no rule fits."""
+    made = []
+    whole = urls.Cascade.__init__
+
+    def noted(self, *args, **options):
+        whole(self, *args, **options)
+        made.append(self)
+
+    monkeypatch.setattr(urls.Cascade, "__init__", noted)
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        found = queries.op9_urls(spark, f"/root/testdata/{sf}").where("rule is null")
+        assert {r.verdict for r in found.select("verdict").distinct().collect()} == {"allow", "block"}
+        assert made[-1].levels[0]
 
 
 def test_main_path_is_native(spark, sf):
