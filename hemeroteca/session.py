@@ -17,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches for Python by size as well as by rows: long texts would fill workers, and the
+    # JVM's buffers beside its heap.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
@@ -37,7 +40,7 @@ def local_session(cores: str | int = 8, app: str = "hemeroteca", **conf: str) ->
 
 
 def apply(spark: SparkSession) -> SparkSession:
-    """Give any session the run-time settings that results depend on."""
+    """Give any session the run-time settings that results, and the memory of workers, depend on."""
     for key, value in ENGINE_CONF.items():
         spark.conf.set(key, value)
     return spark
