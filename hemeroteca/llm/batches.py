@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from hemeroteca.operators.prefilter import held_in_groups
 
 #: Batches are worked on in slices of about this much text, so that what a worker holds doesn't follow the batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hemeroteca import session
 from hemeroteca.llm import (
     bpe, centroids, line_dedup, line_rules, merkle, mil, near, packing, pieces, pii, prefixes, sharding, urls,
 )
@@ -22,7 +23,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return session.apply(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
