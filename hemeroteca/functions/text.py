@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from functools import reduce
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -92,11 +93,6 @@ def _repair_once(col: Column) -> Column:
     )
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 @F.pandas_udf(StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFC")
@@ -121,9 +117,60 @@ def _may_denormalise(col: Column) -> Column:
     return col.rlike(r"[\x{300}-\x{10FFFF}]")
 
 
+#: A character reference as HTML has it; a name may lack its semicolon.
+_REFERENCE = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
+
+
+def _numbered_characters() -> dict[int, str]:
+    """Numbers that stand for another character than their own: Windows text, and what is no character."""
+    odd = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    none = [*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, *range(0xFDD0, 0xFDF0)]
+    none += [plane << 16 | last for plane in range(17) for last in (0xFFFE, 0xFFFF)]
+    return {0: "\ufffd", **odd, **dict.fromkeys(none, "")}
+
+
+def _literal_map(entries: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+
+
 def decode_entities(col: Column) -> Column:
-    """Decode named and numeric HTML entities."""
-    return _only_where(_unescape, col, _has_entity(col))
+    """Decode named and numeric HTML entities, all in the JVM.
+
+    The names are the standard library's HTML5 table. One without its semicolon counts as far as
+    its longest beginning that is such a name.
+    """
+    names, numbers = _literal_map(html5), _literal_map(_numbered_characters())
+    # Names that count without a semicolon are short.
+    bare = {name: text for name, text in html5.items() if not name.endswith(";")}
+    shorter, lengths = _literal_map(bare), range(max(map(len, bare)), 1, -1)
+
+    def numeric(hit: Column, digits: str, base: int, most: int) -> Column:
+        own = F.regexp_extract(hit, f"^&#[xX]?0*({digits}*);?$", 1)
+        code = F.conv(F.when(own == "", "0").otherwise(own), base, 10).cast("long")
+        text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = F.coalesce(F.try_element_at(numbers, code.cast("int")), text)
+        return F.when((F.length(own) > most) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), "\ufffd").otherwise(known)
+
+    def named(hit: Column) -> Column:
+        own = F.substr(hit, F.lit(2))
+        tries = [
+            F.when(
+                F.length(own) > n,
+                F.concat(F.try_element_at(shorter, F.left(own, F.lit(n))), F.substr(own, F.lit(n + 1))),
+            )
+            for n in lengths
+        ]
+        return F.coalesce(F.try_element_at(names, own), *tries, hit)
+
+    def decoded(hit: Column) -> Column:
+        hexed = numeric(hit, "[0-9a-fA-F]", 16, 6)
+        return F.when(hit.rlike("^&#[xX]"), hexed).when(F.startswith(hit, F.lit("&#")), numeric(hit, "[0-9]", 10, 7)).otherwise(named(hit))
+
+    def joined(piece: Column, hit: Column) -> Column:
+        return F.concat(piece, F.when(hit.isNull(), "").otherwise(decoded(hit)))
+
+    parts = F.zip_with(F.split(col, _REFERENCE, -1), F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(0)), joined)
+    return F.when(_has_entity(col), F.array_join(parts, "")).otherwise(col)
 
 
 def compose(col: Column) -> Column:

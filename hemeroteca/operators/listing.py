@@ -210,9 +210,54 @@ def in_page_range(pages: DataFrame, first_page: int, last_page: int, page: str =
     return pages.where(F.col(page).between(first_page, last_page))
 
 
+#: Ranges that are counted at once in search of a cut.
+_RANGES = 1_024
+
+
 def take_target(rows: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows in crawl order (the collection target)."""
-    return rows.orderBy("page", "pos").limit(n)
+    """The first ``n`` rows in crawl order (the collection target); hand in stored rows.
+
+    Counts of page ranges tell at which page the target is reached, then counts of position
+    ranges at which position of it.  All before that is kept as it lies; only rows that tie in
+    page and position are ordered, by their text.  Missing pages and positions come first.
+    """
+    if n <= 0:
+        return rows.where("false")
+    own = rows.withColumns({"_page": _first_if_missing("page"), "_pos": _first_if_missing("pos")})
+    page, before = _cut(own, "_page", n)
+    if page is None:
+        return rows
+    at_page = own.where(F.col("_page") == page)
+    pos, within = _cut(at_page, "_pos", n - before)
+    if pos is None:
+        return own.where(F.col("_page") <= page).drop("_page", "_pos")
+    kept = own.where((F.col("_page") < page) | ((F.col("_page") == page) & (F.col("_pos") < pos)))
+    ties = at_page.where(F.col("_pos") == pos).orderBy(F.to_json(F.struct(*rows.columns))).limit(n - before - within)
+    return kept.union(ties).drop("_page", "_pos")
+
+
+def _first_if_missing(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("long"), F.lit(-1 << 40))
+
+
+def _cut(rows: DataFrame, column: str, n: int) -> tuple[int | None, int]:
+    """(the value of ``column`` that the ``n``-th row in its order has, rows below it); None if there are fewer rows."""
+    ends = rows.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count("*").alias("n")).first()
+    if ends["n"] < n:
+        return None, 0
+    low, high, before = ends["low"], ends["high"], 0
+    while True:
+        width = -(-(high - low + 1) // _RANGES)
+        block = F.expr(f"({column} - {low}L) div {width}L").alias("block")
+        counts = rows.where(F.col(column).between(low, high)).groupBy(block).count().collect()  # _RANGES rows at most
+        for r in sorted(counts):
+            if before + r["count"] >= n:
+                break
+            before += r["count"]
+        low = low + r["block"] * width
+        high = min(high, low + width - 1)
+        if width == 1:
+            return low, before
 
 
 def page_yield(rows: DataFrame) -> DataFrame:

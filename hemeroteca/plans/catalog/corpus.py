@@ -10,6 +10,9 @@ from hemeroteca.functions import urls
 from hemeroteca.operators import cleaning, dedupe, listing, quality
 from hemeroteca.plans import inputs
 from hemeroteca.plans.catalog.registry import LISTING_SQL, ORDER_URLS_SQL, articles_sql, query
+from hemeroteca.session import scratch_path
+from hemeroteca.sources import runs
+from hemeroteca.sources.writers import materialise
 
 _URL_DATE = r"replace(regexp_extract(url, '/([0-9]{4}/[0-9]{2}/[0-9]{2})/', 1), '/', '-')"
 _ARTICLES = articles_sql()
@@ -209,7 +212,87 @@ def numbering_within_url(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY url ORDER BY page, pos) = 1) ORDER BY page, pos LIMIT 75"""
 )
 def article_limit(spark, sf):
-    return listing.take_target(dedupe.first_seen(inputs.listing(spark, sf)), 75).select("idx", "url", "page")
+    rows = materialise(dedupe.first_seen(inputs.listing(spark, sf)), "listing")
+    return listing.take_target(rows, 75).select("idx", "url", "page")
+
+
+@query(
+    f"""SELECT idx, url, page FROM {LISTING_SQL} QUALIFY row_number() OVER (ORDER BY page, pos)
+    <= (SELECT count(*) // 2 FROM documents)"""
+)
+def article_limit_half(spark, sf):
+    """A target of half the listing, URLs repeated."""
+    rows = inputs.listing(spark, sf)
+    return listing.take_target(rows, rows.count() // 2).select("idx", "url", "page")
+
+
+# --- what runs leave behind ---------------------------------------------------------------
+
+
+def _appended(spark, sf):
+    """Tallies of the articles in two appends, the second one stored again after a failure."""
+    path = scratch_path(spark, "tallies")
+    rows = inputs.articles(spark, sf)
+    for run in (0, 1, 1):
+        runs.add_tallies(rows.where(F.col("idx") % 2 == run), path, f"append-{run}")
+    return path
+
+
+@query(
+    f"""SELECT section AS key, count(*) AS n, min(idx) AS first_idx, CAST(count(*) AS DOUBLE) * 100 / (SELECT count(*) FROM documents) AS pct
+    FROM (SELECT idx, split_part(url, '/', 4) AS section FROM {_ARTICLES}) GROUP BY 1"""
+)
+def stored_section_histogram(spark, sf):
+    return runs.tallied(spark, _appended(spark, sf), "section")
+
+
+@query(
+    f"""SELECT left(date, 4) AS key, count(*) AS n, min(idx) AS first_idx, CAST(count(*) AS DOUBLE) * 100 / (SELECT count(*) FROM documents) AS pct
+    FROM {_ARTICLES} WHERE regexp_full_match(left(date, 4), '[0-9]+') GROUP BY 1"""
+)
+def stored_year_histogram(spark, sf):
+    return runs.tallied(spark, _appended(spark, sf), "year")
+
+
+@query(
+    f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE length(body) > 100) AS with_body,
+    count(*) FILTER (WHERE date <> '') AS with_date FROM {_ARTICLES}"""
+)
+def stored_coverage(spark, sf):
+    return runs.tallied_coverage(spark, _appended(spark, sf))
+
+
+@query(
+    f"""SELECT 'distinct url' AS kind, count(DISTINCT url) AS n, true AS within FROM {_ARTICLES}
+    UNION ALL SELECT 'distinct title', count(DISTINCT title), true FROM {_ARTICLES}"""
+)
+def sketched_distinct(spark, sf):
+    """Merged sketches of two appends beside the exact counts, and whether they are within the stated bound."""
+    counts = quality.corpus_counts(inputs.articles(spark, sf))
+    exact = counts.select(F.inline(F.array(
+        F.struct(F.lit("distinct url").alias("kind"), F.col("n_urls").alias("n")),
+        F.struct(F.lit("distinct title").alias("kind"), F.col("n_titles").alias("n")),
+    )))
+    both = exact.join(runs.estimated_distinct(spark, _appended(spark, sf)), "kind")
+    return both.select("kind", "n", (F.abs(F.col("estimate") - F.col("n")) <= runs.SKETCH_BOUND * F.col("n")).alias("within"))
+
+
+_UNFINISHED = "doc_id % 7 = 3 OR (doc_id % 5 = 1 AND doc_id % 3 = 0)"
+
+
+@query(
+    f"""SELECT 'gap' AS kind, doc_id AS position FROM documents WHERE {_UNFINISHED}
+    UNION ALL SELECT 'row', doc_id FROM documents WHERE {_UNFINISHED}"""
+)
+def resume_positions(spark, sf):
+    """Work that ended out of order, over two runs, the second one noted twice: the backlog is the gaps."""
+    path = scratch_path(spark, "positions")
+    rows = inputs.listing(spark, sf).select("idx", "url")
+    ended = rows.where("not (idx % 7 = 3 or (idx % 5 = 1 and idx % 3 = 0))")
+    for run in (0, 1, 1):
+        runs.note_finished(ended.where(F.crc32("url") % 2 == run), path, f"run-{run}")
+    gaps = runs.gaps(spark, path, rows.count()).select(F.lit("gap").alias("kind"), "position")
+    return gaps.union(runs.unfinished_rows(rows, path).select(F.lit("row"), "idx"))
 
 
 @query(f"SELECT DISTINCT url FROM {LISTING_SQL}")

@@ -117,9 +117,9 @@ def search_pages(spark: SparkSession, sf: str) -> DataFrame:
 LISTING_KEY = "case when doc_id % 4 = 0 then 0 else doc_id - doc_id % 2 end"
 ARTICLE_COLUMNS = {
     "idx": "doc_id",
-    "title": "substring(text, 1, 60)",
+    "title": "split_part(text, '\n', 1)",
     "url": article_url("doc_id"),
-    "description": "substring(text, 61, 120)",
+    "description": "split_part(text, '\n', 2)",
     "author": "case doc_id % 5 when 0 then '' when 1 then null else concat('Redaccion', upper(source)) end",
     "date": """case doc_id % 5 when 0 then '' when 1 then '   ' when 2 then null when 3 then '9999/99/99'
         else concat('20', lpad(cast(doc_id % 24 as string), 2, '0'), '-05-06') end""",

@@ -81,10 +81,9 @@ def harvest_enriched(
 
     ``target`` stops after so many listing rows, in crawl order.
     """
-    rows = listing.section_listing_rows(outline(search_pages))
+    rows = materialise(listing.section_listing_rows(outline(search_pages)), "listing")
     if target is not None:
         rows = listing.take_target(rows, target)
-    rows = materialise(rows, "listing")
     extracted = extract_listed(rows, pages, lambda o: article.article_v3(o, scraped_at))
     return article.with_body(article.enrich(rows, extracted))
 

@@ -57,7 +57,7 @@ def unescaped(chunk: str) -> str:
     return "".join([*parts, chunk[start:]])
 
 
-def _chunks(spark: SparkSession, path: str) -> DataFrame:
+def _chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, start, n, chunk): what stands before each ``}``, in splits of a file, numbered in each."""
     rows = spark.read.option("lineSep", _CUT).text(path)
     return rows.select(
@@ -177,7 +177,7 @@ def _parts(chunks: DataFrame, known: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "file string, start long, idx long, kind int, text string")
 
 
-def array_records(spark: SparkSession, path: str) -> DataFrame:
+def array_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, idx, record, fault) of the array files under ``path``.
 
     ``record`` is a record's text, ``idx`` its place. A row with a ``fault`` says what is wrong with a file that is no

@@ -20,7 +20,7 @@ CSV_OPTIONS = {
 }
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Files holding one JSON array of records each, with 0-based ``idx`` and ``file``.
 
     A big file is read in splits, many tasks at once.  A file that is no such array, or a
@@ -33,7 +33,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return parsed.select("file", "idx", "r.*")
 
 
-def split_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def split_json_arrays(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(records as ``read_json_array`` gives them, rejects: ``file``, ``idx``, ``text``).
 
     A record that does not fit the schema is a reject with its place and text.  Of a file

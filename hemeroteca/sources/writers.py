@@ -64,6 +64,18 @@ def _join_records(spark: SparkSession, parts: str, path: str) -> None:
         raise OSError(f"{path}: could not be put in place")
 
 
+def write_one_file(text: DataFrame, path: str) -> None:
+    """The single row of ``text`` as one file, in place of what is there."""
+    spark = text.sparkSession
+    parts = scratch_path(spark, "one-file")
+    text.coalesce(1).write.text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, part, target.getFileSystem(conf), target, False, True, conf)
+
+
 def write_csv(
     rows: DataFrame, path: str, columns: list[str] | None = None, mode: str = "error", skip_empty: bool = False
 ) -> bool:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import article, dedupe, outline, quality
@@ -125,6 +128,92 @@ def settled(spark: SparkSession, out: str, order: tuple[str, ...] = ("page", "po
     return dedupe.first_seen(spark.read.parquet(out), "url", (*order, "batch_id")).drop("batch_id")
 
 
+def _thinned(batches: Iterator[pa.RecordBatch], order: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Of each URL in an Arrow batch, the first row."""
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]).append_column("_at", pa.array(range(batch.num_rows), pa.int64()))
+        rows = rows.sort_by([("url", "ascending"), *[(c, "ascending") for c in order], ("_at", "ascending")])
+        repeated = rows.column("url").to_pandas().duplicated().to_numpy()
+        yield batch.take(rows.column("_at").filter(pa.array(~repeated)).combine_chunks())
+
+
+class LeastRow(StatefulProcessor):
+    """Keeps the place of each URL's first row so far, and lets a row pass that comes before it.
+
+    With an event time, a timer forgets the place ``horizon_ms`` after the row that was last kept.
+    """
+
+    def __init__(self, order: tuple[str, ...], event_time: str | None, horizon_ms: int):
+        self.order, self.event_time, self.horizon_ms = order, event_time, horizon_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.place = handle.getValueState("place", StructType([StructField(c, LongType()) for c in (*self.order, "due")]))
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        best = pd.concat(list(rows)).sort_values(list(self.order), kind="stable").head(1)
+        place = tuple(int(best[c].iloc[0]) for c in self.order)
+        known = tuple(self.place.get()) if self.place.exists() else None
+        if known is not None and place >= known[:-1]:
+            return
+        due = 0
+        if self.event_time is not None:
+            due = int(best[self.event_time].iloc[0].timestamp() * 1000) + self.horizon_ms
+            if known is not None:
+                self.handle.deleteTimer(known[-1])
+            self.handle.registerTimer(due)
+        self.place.update((*place, due))
+        for c, old in zip(self.order, known or (None,) * len(self.order), strict=False):
+            best[f"replaced_{c}"] = pd.array([old], "Int64")
+        yield best
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.place.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def first_row_stream(
+    rows: DataFrame, out: str, checkpoint: str, every: str | None = "5 seconds", order: tuple[str, ...] = ("page", "pos"),
+    event_time: str | None = "scraped_at", horizon_days: int = 30,
+) -> StreamingQuery:
+    """Store a URL's first row as soon as it is seen, and again whenever one turns up that comes before it.
+
+    State holds three numbers a URL, on executor disks; a timer drops them ``horizon_days`` of event time after the row
+    that was last kept (without an event time: never).  What a stored row replaces stands beside it, so ``first_rows``
+    needn't look through all rows again.  Rows without a URL, place or time are left out.  Repeats within an Arrow
+    batch are dropped before the shuffle.
+    """
+    use_disk_state(rows.sparkSession)
+    needed = ["url", *order, *[event_time] * (event_time is not None)]
+    placed = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]))
+    if event_time is not None:
+        placed = placed.withWatermark(event_time, f"{horizon_days} days")
+    thin = placed.mapInArrow(lambda it: _thinned(it, order), rows.schema)
+    schema = StructType([*rows.schema.fields, *[StructField(f"replaced_{c}", LongType()) for c in order]])
+    keeper = LeastRow(order, event_time, horizon_days * 86_400_000)
+    kept = thin.groupBy("url").transformWithStateInPandas(keeper, schema, "Update", "None" if event_time is None else "EventTime")
+
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return _start(kept.writeStream.outputMode("update").foreachBatch(tick), checkpoint, every)
+
+
+def first_rows(spark: SparkSession, out: str, order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
+    """One row per URL, the first in ``order``: what ``first_row_stream`` stored, less what later ticks have replaced.
+
+    Only the replaced places, which are few, are looked up.
+    """
+    stored = spark.read.parquet(out)
+    gone = stored.where(F.col(f"replaced_{order[0]}").isNotNull()).select("url", *[F.col(f"replaced_{c}").alias(f"_{c}") for c in order])
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in order], F.col("url") == F.col("_url"))
+    left = stored.join(gone.withColumnRenamed("url", "_url"), same, "left_anti")
+    return left.drop("batch_id", *[f"replaced_{c}" for c in order])
+
+
 def append_stream(rows: DataFrame, out: str, checkpoint: str, every: str | None = "5 seconds") -> StreamingQuery:
     """Append to a parquet folder, exactly once; restart with the same checkpoint to resume."""
     return _start(rows.writeStream.format("parquet").option("path", out), checkpoint, every)

@@ -166,3 +166,21 @@ def test_digit_class_holds_what_python_calls_digits(spark):
     rows = spark.createDataFrame([(c, chr(c)) for c in points if c < 0x20000 or chr(c).isdigit()], "c int, s string")
     got = {r.c for r in rows.where(F.col("s").rlike(f"^{fv.DIGIT}$")).select("c").collect()}
     assert got == {c for c in points if chr(c).isdigit()}
+
+
+def test_every_entity_without_python(spark):
+    import html
+    from html.entities import html5
+
+    names = [n for name in html5 for n in (name, name.rstrip(";"), f"{name}x", f"{name.rstrip(';')}é;", f"{name[:-2]};")]
+    texts = [f"a &{n} b" for n in names] + [f"&{name.rstrip(';')}&{name}" for name in html5]
+    numbers = [*range(0x180), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFD, 0x10FFFF, 0x110000, 10**7, 10**12]
+    texts += [f"&#{n}{end}" for n in numbers for end in ("", ";", "z", ";;")] + [f"&#{x}000{n:x};" for n in numbers for x in "xX"]
+    texts += ["&#;", "&#x;", "&", "&&amp;&", "&#xg;", "& amp;", "&\tlt;", "&amp;lt;", "&notit; &notin;", "&" + "a" * 40 + ";", "", None, "no reference"]
+    texts += ["&#" + "0" * 50 + "65;", "&#x" + "f" * 200 + ";"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", tx.decode_entities(F.col("t")).alias("d"))
+    got = {r.i: r.d for r in df.collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == (None if t is None else html.unescape(t)), t
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("PythonUDF|EvalPython|ArrowEval|MapInArrow", plan)
