@@ -216,6 +216,17 @@ def snapshot_folders(spark, sf):
     return back.groupBy("snapshot").agg(F.count("*").alias("n"), F.min("idx").alias("first_idx"))
 
 
+@query("SELECT CAST(doc_id // 200 + 1 AS INT) AS snapshot, CAST(doc_id // 200 // 50 AS INT) AS folder, doc_id AS idx, lang FROM documents")
+def snapshot_folders_together(spark, sf):
+    """Fifty snapshots a folder, each row with its snapshot's number."""
+    path = scratch_path(spark, "snapshots")
+    rows = inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("idx"), "lang")
+    writers.write_snapshots(rows, path, fv.BODIES_PER_SNAPSHOT, together=50)
+    kinds = {"idx": T.LongType(), "lang": T.StringType(), "snapshot": T.IntegerType(), "snapshots": T.IntegerType()}
+    back = readers.read_csv(spark, path, T.StructType([T.StructField(c, k) for c, k in kinds.items()]))
+    return back.withColumnRenamed("snapshots", "folder")
+
+
 @query(
     """SELECT 'pages' AS kind, CAST(page // 5 + 1 AS INT) AS checkpoint, count(*) AS n, max(page) AS last
     FROM (SELECT doc_id % 105 AS page FROM documents) GROUP BY 2
@@ -258,5 +269,5 @@ def date_fill_rewritten(spark, sf):
     path = scratch_path(spark, "articles")
     inputs.articles(spark, sf).select("idx", "url", "date").write.parquet(path)
     stored = spark.read.parquet(path)
-    target = writers.rewrite(spark, cleaning.fill_dates(stored).drop("date_filled"), path)
-    return spark.read.parquet(target)
+    writers.rewrite(spark, cleaning.fill_dates(stored).drop("date_filled"), path)
+    return spark.read.parquet(writers.current_version(spark, path))

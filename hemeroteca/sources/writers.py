@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hemeroteca.session import scratch_path
-from hemeroteca.sources.readers import CSV_OPTIONS, json_names
+from hemeroteca.sources.readers import CSV_OPTIONS, exists, json_names
 
 
 def write_records(rows: DataFrame, path: str, mode: str = "error") -> None:
@@ -169,17 +172,19 @@ def snapshot_no(order: str, every: int):
     return (F.expr(f"`{order}` div {every}") + 1).cast("int")
 
 
-def write_snapshots(rows: DataFrame, path: str, every: int, order: str = "idx") -> None:
+def write_snapshots(rows: DataFrame, path: str, every: int, order: str = "idx", together: int = 1) -> None:
     """Rows in folders ``snapshot=1, 2, ...`` of ``every`` rows each.
 
-    A snapshot is all folders up to its number, so each row is written once, not once
-    per snapshot.  Choose ``every`` so that a folder is worth a file.
+    A snapshot is all rows up to its number, so each row is written once, not once per
+    snapshot.  With ``together`` above 1, so many snapshots share a folder ``snapshots=0, 1,
+    ...`` and bear their number as a column: choose it so that a folder is worth a file.
     """
     numbered = rows.withColumn("snapshot", snapshot_no(order, every))
-    # A snapshot is of bounded size, so one task may write it, and into one file.
-    numbered.repartition("snapshot").write.mode("error").partitionBy("snapshot").options(
-        **CSV_OPTIONS
-    ).csv(path)
+    folder = "snapshot"
+    if together > 1:
+        numbered, folder = numbered.withColumn("snapshots", F.expr(f"(snapshot - 1) div {together}")), "snapshots"
+    # A folder is of bounded size, so one task may write it, and into one file.
+    numbered.repartition(folder).write.mode("error").partitionBy(folder).options(**CSV_OPTIONS).csv(path)
 
 
 def append_finished(rows: DataFrame, path: str) -> None:
@@ -199,22 +204,33 @@ def materialise(rows: DataFrame, purpose: str) -> DataFrame:
 
 
 def rewrite(spark: SparkSession, rows: DataFrame, path: str) -> str:
-    """A new version beside the old one.
+    """A new version of the table ``path`` beside the old one, made current once it is whole.
 
-    A lazy plan cannot overwrite the files it still reads, so "in place" becomes a
-    versioned sibling; the caller switches readers to it.
+    A lazy plan cannot overwrite the files it still reads, so "in place" becomes a version
+    named by time and chance, which no other writer takes, and a pointer to it that is
+    replaced in one step.  Readers ask ``current_version``; of two writers, the later wins.
     """
     base = path.rstrip("/")
-    version = 1
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def taken(p: str) -> bool:
-        where = jvm.org.apache.hadoop.fs.Path(p)
-        return where.getFileSystem(conf).exists(where)
-
-    while taken(f"{base}.v{version}"):
-        version += 1
-    target = f"{base}.v{version}"
+    target = f"{base}.v{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}"
     rows.write.parquet(target)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path  # noqa: N806
+    pointer, fresh = Path(f"{base}.current"), Path(f"{base}.current.{uuid.uuid4().hex}")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), conf) if pointer.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(conf)
+    out = fresh.getFileSystem(conf).create(fresh, True)
+    try:
+        out.write(bytearray(target.encode()))
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fresh, pointer, overwrite)
     return target
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Where the table ``path`` lies now: its last whole rewrite, or ``path`` itself."""
+    pointer = f"{path.rstrip('/')}.current"
+    if not exists(spark, pointer):
+        return path
+    return spark.read.text(pointer, wholetext=True).first()["value"]

@@ -138,12 +138,18 @@ def test_rewriting_makes_versions(spark, tmp_path):
     path = str(tmp_path / "articles")
     schema = "url string, date string"
     spark.createDataFrame([("/2024/01/02/", ""), ("/x/", None)], schema).write.parquet(path)
-    for version in (1, 2):
-        stored = spark.read.parquet(path)
-        target = writers.rewrite(spark, cleaning.fill_dates(stored).drop("date_filled"), path)
-        assert target == f"{path}.v{version}"
-    assert {r.date for r in spark.read.parquet(target).collect()} == {"2024-01-02", None}
+    assert writers.current_version(spark, path) == path
+    targets = []
+    for _ in range(2):
+        stored = spark.read.parquet(writers.current_version(spark, path))
+        targets.append(writers.rewrite(spark, cleaning.fill_dates(stored).drop("date_filled"), path))
+        assert writers.current_version(spark, path) == targets[-1]
+    assert len(set(targets)) == 2 and targets == sorted(targets)
+    assert {r.date for r in spark.read.parquet(targets[-1]).collect()} == {"2024-01-02", None}
     assert {r.date for r in spark.read.parquet(path).collect()} == {"", None}
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):  # a rewrite that fails changes nothing
+        writers.rewrite(spark, spark.range(3).selectExpr("1 div (id - 2) AS broken"), path)
+    assert writers.current_version(spark, path) == targets[-1]
 
 
 def test_finished_output_is_append_only(spark, tmp_path):
