@@ -97,6 +97,29 @@ def _forward(p: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray) -> dic
     return {"bag": bag, "h": h, "v": v, "u": u, "share": share, "z": z, "score": _sigmoid(z @ p["out"] + p["out_0"])}
 
 
+def loss(p: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> float:
+    """Mean log loss over the bags."""
+    score = _forward(p, x, starts)["score"]
+    return float(-np.mean(y * np.log(score) + (1 - y) * np.log(1 - score)))
+
+
+def slopes(p: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of ``loss`` in every weight."""
+    f = _forward(p, x, starts)
+    bag, h, v, u, share = f["bag"], f["h"], f["v"], f["u"], f["share"]
+    off = (f["score"] - y) / len(y)
+    d_z = off[:, None] * p["out"]
+    d_h = share[:, None] * d_z[bag]
+    d_share = (h * d_z[bag]).sum(axis=1)
+    d_pull = share * (d_share - np.add.reduceat(share * d_share, starts)[bag])
+    d_v, d_u = d_pull[:, None] * p["gate"] * u * (1 - v**2), d_pull[:, None] * p["gate"] * v * u * (1 - u)
+    d_h = (d_h + d_v @ p["gate_v"].T + d_u @ p["gate_u"].T) * (1 - h**2)
+    return {
+        "encode": x.T @ d_h, "encode_0": d_h.sum(axis=0), "gate_v": h.T @ d_v, "gate_u": h.T @ d_u,
+        "gate": (v * u).T @ d_pull, "out": f["z"].T @ off, "out_0": np.array([off.sum()]),
+    }
+
+
 def fit_bags(x: np.ndarray, starts: np.ndarray, y: np.ndarray, rounds: int = 150, decay: float = 1e-4) -> Model:
     """Learn from bags of passages by gradient descent on the log loss."""
     if len(set(y.tolist())) < 2:
@@ -108,19 +131,7 @@ def fit_bags(x: np.ndarray, starts: np.ndarray, y: np.ndarray, rounds: int = 150
     p |= {"encode_0": np.zeros(HIDDEN), "out_0": np.zeros(1)}
     speed, swing = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, rounds + 1):
-        f = _forward(p, x, starts)
-        bag, h, v, u, share = f["bag"], f["h"], f["v"], f["u"], f["share"]
-        off = (f["score"] - y) / len(y)
-        d_z = off[:, None] * p["out"]
-        d_h = share[:, None] * d_z[bag]
-        d_share = (h * d_z[bag]).sum(axis=1)
-        d_pull = share * (d_share - np.add.reduceat(share * d_share, starts)[bag])
-        d_v, d_u = d_pull[:, None] * p["gate"] * u * (1 - v**2), d_pull[:, None] * p["gate"] * v * u * (1 - u)
-        d_h = (d_h + d_v @ p["gate_v"].T + d_u @ p["gate_u"].T) * (1 - h**2)
-        slope = {
-            "encode": x.T @ d_h, "encode_0": d_h.sum(axis=0), "gate_v": h.T @ d_v, "gate_u": h.T @ d_u,
-            "gate": (v * u).T @ d_pull, "out": f["z"].T @ off, "out_0": np.array([off.sum()]),
-        }
+        slope = slopes(p, x, starts, y)
         for k, own in p.items():
             g = slope[k] + decay * own
             speed[k], swing[k] = 0.9 * speed[k] + 0.1 * g, 0.99 * swing[k] + 0.01 * g**2
