@@ -31,11 +31,11 @@ def page_counts(articles: DataFrame) -> DataFrame:
 def histogram(rows: DataFrame, key: Column, name: str, order: str = "idx") -> DataFrame:
     """Rows per key with percentage of the total; largest first, ties in first-seen order.
 
-    The total is a scalar subquery that reads no column of the rows, so no task has to
-    hold all groups the way a window without partitions would.  Hand in stored rows.
+    The total is a scalar subquery over the same groups, whose shuffle it shares, so rows
+    are read once and no task has to hold all groups the way a window without partitions would.
     """
     groups = rows.groupBy(key.alias(name)).agg(F.count("*").alias("n"), F.min(order).alias("first_idx"))
-    total = rows.agg(F.count("*")).scalar()
+    total = groups.agg(F.sum("n")).scalar()
     return groups.withColumn("pct", F.col("n") * 100.0 / total).orderBy(F.desc("n"), "first_idx")
 
 
