@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.operators import cleaning, dedupe, quality
 from hemeroteca.plans import inputs
-from hemeroteca.plans.catalog.registry import ORDER_URLS_SQL, articles_sql, query
-from hemeroteca.plans.catalog.text import _SUSPECTS
+from hemeroteca.plans.catalog.registry import ORDER_URLS_SQL, SUSPECTS_SQL, articles_sql, query
 from hemeroteca.session import scratch_path
 from hemeroteca.sources import readers, writers
 
@@ -121,7 +120,7 @@ def checkpoint_read(spark, sf):
 
 @query(
     f"""SELECT 'some' AS kind, idx AS index, left(title, 80) AS title, url, array_to_string(s[1:5], '|') AS merged_words, 1 AS written
-    FROM (SELECT *, {_SUSPECTS} AS s FROM {articles_sql()}) WHERE len(s) > 0
+    FROM (SELECT *, {SUSPECTS_SQL} AS s FROM {articles_sql()}) WHERE len(s) > 0
     UNION ALL SELECT 'none', NULL, NULL, NULL, NULL, 0"""
 )
 def glued_report_if_any(spark, sf):

@@ -69,3 +69,8 @@ _ENTITIES = (
 def decoded_sql(x: str) -> str:
     """The entities that occur in the inputs, the ampersand last; it counts without its semicolon too."""
     return f"regexp_replace({replaced_sql(x, _ENTITIES)}, '&amp;?', '&', 'g')"
+
+
+# The two published patterns of glued words, for the checking engine.
+SUSPECTS_SQL = r"""list_concat(list_filter(regexp_extract_all(lower(body), '[\p{L}\p{N}_]+'),
+    lambda w: regexp_matches(w, '^[a-záéíóúñ]{20,}$')), regexp_extract_all(body, '[a-záéíóúñ]+[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+'))"""

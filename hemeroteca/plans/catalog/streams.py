@@ -81,7 +81,7 @@ def stream_first_seen(spark, sf):
 def stream_first_rows(spark, sf):
     """As ``stream_first_seen``, with each URL's place in state: later files hold rows that come before stored ones."""
     folder, out, state = (scratch_path(spark, f"first-{k}") for k in ("in", "out", "state"))
-    rows = inputs.listing(spark, sf).select("idx", "url", "page", "pos", F.timestamp_seconds("idx").alias("scraped_at"))
+    rows = inputs.listing(spark, sf).select("idx", "url", "page", "pos", F.timestamp_seconds(F.col("idx") + 1).alias("scraped_at"))
     for part in (1, 0):
         rows.where(F.col("idx") % 2 == part).repartition(2, "idx").write.mode("append").parquet(folder)
         arriving = stream_folder(spark, folder, rows.schema)
@@ -144,10 +144,11 @@ def stream_snapshots(spark, sf):
 
 @query(f"SELECT DISTINCT url FROM {LISTING_SQL}")
 def stream_resumed(spark, sf):
-    """Started twice over one checkpoint: the second run finds nothing left to add."""
+    """Started twice over one checkpoint: the second run finds nothing left to add. State goes behind the horizon."""
     out, state = scratch_path(spark, "resumed"), scratch_path(spark, "resumed-state")
     for _ in range(2):
-        rows = harvest.first_seen_stream(_listing_stream(spark, sf).select("url"), horizon=None)
+        arriving = _listing_stream(spark, sf).select("url", F.timestamp_seconds(F.col("idx") + 1).alias("scraped_at"))
+        rows = harvest.first_seen_stream(arriving, "3650 days").select("url")
         harvest.run_to_end(harvest.append_stream(rows, out, state, every=None))
     return harvest.latest(spark, out)
 

@@ -9,6 +9,7 @@ from hemeroteca.functions import text as tx
 from hemeroteca.operators import cleaning, quality
 from hemeroteca.plans import inputs, workflows
 from hemeroteca.plans.catalog.registry import (
+    SUSPECTS_SQL,
     articles_sql,
     decoded_sql,
     query,
@@ -78,13 +79,9 @@ def unglue_final(spark, sf):
     return _over_documents(spark, sf, _GLUED, "split", lambda c: tx.unglue(c, "final"))
 
 
-_SUSPECTS = r"""list_concat(list_filter(regexp_extract_all(lower(body), '[\p{L}\p{N}_]+'),
-    lambda w: regexp_matches(w, '^[a-záéíóúñ]{20,}$')), regexp_extract_all(body, '[a-záéíóúñ]+[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+'))"""
-
-
 @query(
     f"""SELECT idx AS index, left(title, 80) AS title, url, array_to_string(s[1:5], '|') AS merged_words
-    FROM (SELECT *, {_SUSPECTS} AS s FROM {articles_sql()}) WHERE len(s) > 0"""
+    FROM (SELECT *, {SUSPECTS_SQL} AS s FROM {articles_sql()}) WHERE len(s) > 0"""
 )
 def glued_report(spark, sf):
     report = quality.glued_report(inputs.articles(spark, sf))
@@ -94,7 +91,7 @@ def glued_report(spark, sf):
 @query(
     f"""SELECT count(*) AS n_rows, count(*) FILTER (len(s) > 0) AS n_issues,
     CAST(count(*) FILTER (len(s) > 0) AS DOUBLE) * 100 / count(*) AS pct_issues
-    FROM (SELECT {_SUSPECTS} AS s FROM {articles_sql()})"""
+    FROM (SELECT {SUSPECTS_SQL} AS s FROM {articles_sql()})"""
 )
 def issue_rate(spark, sf):
     return quality.issue_rate(inputs.articles(spark, sf))
