@@ -237,3 +237,18 @@ ORACLES["op13_prefixes"] = f"""
     SELECT nodes.conv AS conv_id, d AS depth, up.conv AS parent_conv_id, n AS n_convs,
         (SELECT count(*) FROM up u WHERE u.above = nodes.path) AS n_children, n_leaves, saved AS saved_tokens, sha256(ends) AS ends_sha256
     FROM nodes JOIN below USING (path) LEFT JOIN up USING (path)"""
+
+
+#: All pairs that share a shingle, by the shingles themselves.
+ORACLES["op10_near_dedup"] = """
+    WITH RECURSIVE worded AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+    listed AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s FROM worded),
+    sized AS MATERIALIZED (SELECT doc_id, len(s) AS n FROM listed),
+    tokens AS MATERIALIZED (SELECT doc_id, unnest(s) AS token FROM listed),
+    links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+        JOIN sized x ON x.doc_id = a.doc_id JOIN sized y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+    reach AS (SELECT doc_id AS node, doc_id AS seen FROM sized UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen)
+    SELECT doc_id, n::BIGINT AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept FROM sized JOIN reach ON node = doc_id GROUP BY doc_id, n"""
