@@ -93,7 +93,8 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", remov
     # Groups of equal bytes: the byte comparison. Chunks that only pass the filter are alone in theirs.
     found = split_by_keys(_listed(held, with_bytes=True, one_in=one_in), "hash", again, "hash")[0]
     groups = found.groupBy("hash", "chunk").agg(F.min(F.struct("doc", "n")).alias("first"))
-    last = F.length("chunk") - F.length(F.translate(F.col("chunk").cast("string"), "\n", "")) + F.col("first.n")
+    spoken = F.col("chunk").cast("string")
+    last = F.length(spoken) - F.length(F.translate(spoken, "\n", "")) + F.col("first.n")
     groups = groups.withColumn("last", last)
     # Where a hash has one group, the hash stands for the bytes; else the bytes are looked at again.
     by_hash = groups.groupBy("hash").agg(F.min("first").alias("first"), F.min("last").alias("last"), F.count("*").alias("kinds"))

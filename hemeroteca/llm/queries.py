@@ -252,3 +252,17 @@ ORACLES["op10_near_dedup"] = """
         HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
     reach AS (SELECT doc_id AS node, doc_id AS seen FROM sized UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen)
     SELECT doc_id, n::BIGINT AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept FROM sized JOIN reach ON node = doc_id GROUP BY doc_id, n"""
+
+#: Every pair of neighbouring lines that stands earlier goes; the first one's last line is left to it.
+ORACLES["op6_line_dedup"] = ORACLES["op6_passage_dedup"] = r"""
+    WITH src AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+    numbered AS (SELECT doc_id, l, unnest(range(len(l))) AS n FROM src),
+    worded AS (SELECT doc_id, l, n, lead(n) OVER (PARTITION BY doc_id ORDER BY n) AS m FROM numbered WHERE regexp_matches(l[n + 1], '\S')),
+    pairs AS MATERIALIZED (SELECT doc_id, n, m, array_to_string(l[n + 1:m + 1], chr(10)) AS chunk FROM worded WHERE m IS NOT NULL),
+    firsts AS (SELECT chunk, min(struct_pack(d := doc_id, n := n, m := m)) AS f FROM pairs GROUP BY chunk HAVING count(*) > 1),
+    gone AS (SELECT doc_id, unnest(range(n + (doc_id = f.d AND n = f.m)::INT, m + 1)) AS k FROM pairs JOIN firsts USING (chunk)
+        WHERE NOT (doc_id = f.d AND n = f.n)),
+    dropped AS (SELECT doc_id, list_sort(list_distinct(list(k))) AS ks FROM gone GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN ks IS NULL THEN text ELSE array_to_string(
+        list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(ks, i - 1)), chr(10)) END AS text,
+        coalesce(list_transform(ks, lambda k: k::INT), []) AS removed_lines FROM documents LEFT JOIN dropped USING (doc_id)"""

@@ -42,7 +42,7 @@ def test_planted_passages_go_to_their_ends(spark):
     for doc in range(3 * len(passages)):
         own = [[f"own {rnd.random()}" for _ in range(rnd.randrange(1, 4))] for _ in range(2)]
         rows.append((doc, "\n".join([*own[0], *passages[doc % len(passages)], *own[1]])))
-    rows += [(900, "a\na\na\na\nb"), (901, "x\ny\nx\ny\n\n"), (902, "a\nb\nx"), (903, "\n".join(passages[5] + passages[9])), (904, " \n\n")]
+    rows += [(900, "a\na\na\na\nb"), (901, "x\ny\nx\ny\n\n"), (902, "a\nb\nx"), (903, "\n".join(passages[5] + passages[9])), (904, " \n\n"), (905, "é\né\né\né"), (906, "ñá\n\nñá\nñá\nz")]
     docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, n_chars int").repartition(5)
     want = runs_removed(rows)
     got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
