@@ -3,8 +3,10 @@
 import html
 import random
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hemeroteca.functions import fixed_values as fv
 from hemeroteca.functions import text as tx
+from hemeroteca.operators import cleaning
 
 
 def column(spark, values, fn):
@@ -184,3 +187,28 @@ def test_every_entity_without_python(spark):
         assert got[i] == (None if t is None else html.unescape(t)), t
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("PythonUDF|EvalPython|ArrowEval|MapInArrow", plan)
+
+
+def test_python_holds_few_texts_at_a_time():
+    texts = pa.array([f"{i} café &eacute; " + "x" * 5000 for i in range(2000)] + [None, ""])
+    tracemalloc.start()
+    try:
+        got = tx._unescape_nfc.func(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got[1999].as_py().startswith("1999 café é ") and got.to_pylist()[-2:] == [None, ""]
+    assert len(got) == len(texts) and most < 3e6
+    assert tx._nfc.func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_cleaning_bounds_arrow_batches_unless_the_session_does(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.newSession()
+    own.conf.unset(key)
+    rows = own.createDataFrame([("café &amp; te",), (None,)], "body string")
+    assert {r.body for r in cleaning.clean_articles(rows).collect()} == {"café & te", None}
+    assert own.conf.get(key) == "4m"
+    own.conf.set(key, "1m")
+    cleaning.clean_articles(rows)
+    assert own.conf.get(key) == "1m"
