@@ -1,7 +1,10 @@
 """A folder whose files are seen while they are written."""
 
+import datetime
 import json
+import time
 
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from hemeroteca.sources import readers
@@ -56,3 +59,36 @@ def test_first_rows_replaced_by_earlier_ones_and_forgotten(spark, tmp_path):
     again = arrive([("b", 3, 3, 500, 10)])
     assert ("b", 3, 3, 10) in again and ("b", 1, 1, 2) in again
     assert not readers.exists(spark, f"{out}/none")
+
+
+def test_first_rows_of_many_urls_cost_no_frames():
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = None, []
+            self.exists, self.get = lambda: self.state is not None, lambda: self.state
+            self.registerTimer, self.deleteTimer = self.timers.append, self.timers.remove
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return self
+
+        def update(self, value):
+            self.state = value
+
+    def at(day):
+        return datetime.datetime(1970, 1, 1 + day, tzinfo=datetime.UTC)
+
+    def look(keeper, *rows):
+        found = keeper.handleInputRows(("a",), (Row(url="a", page=p, pos=q, scraped_at=t, n=n) for p, q, t, n in rows), None)
+        return [(r.n, r.replaced_page, r.replaced_pos) for r in found]
+
+    day = 86_400_000
+    keeper, handle = harvest.LeastRow(("page", "pos"), "scraped_at", 30 * day), Handle()
+    keeper.init(handle)
+    assert look(keeper, (5, 1, at(1), 0), (4, 9, at(2), 1), (4, 9, at(3), 2)) == [(1, None, None)], "the first of a tie"
+    assert look(keeper, (4, 9, at(3), 3)) == [] and handle.timers == [32 * day]
+    assert look(keeper, (2, 7, at(4).replace(tzinfo=None), 4)) == [(4, 4, 9)] and handle.timers == [34 * day]
+    began = time.process_time()
+    for n in range(10_000):
+        handle.state = None
+        look(keeper, (n, 1, at(1), n))
+    assert time.process_time() - began < 1
