@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemeroteca.llm.batches import slices, tidied
+from hemeroteca.llm.batches import slices, split_by_keys, tidied
 from hemeroteca.sources.writers import materialise
 
 WORDS = 5
@@ -245,13 +245,12 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     alike = ALIKE[0] / ALIKE[1]
     sketched = materialise(sketch(docs, key, text), "sketches")
     own = sketched.where("digest is not null and doc_id is not null")
-    least = materialise(own.groupBy("digest").agg(F.min("doc_id").alias("node")), "copies")
-    nodes = materialise(
-        own.join(least.withColumnRenamed("digest", "own"), (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("own")))
-        .select("node", F.col("n_shingles").alias("n"), "registers")
-        .distinct(),
-        "nodes",
+    # Equal digests have equal sizes and registers, so any copy's will do: registers are shuffled once, a set's not a copy's.
+    folded = own.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("registers").alias("registers")
     )
+    nodes = materialise(folded, "nodes")
+    least, nodes = nodes.select("digest", "node"), nodes.select("node", "n", "registers")
     size = 2 * BAND_REGISTERS
     band = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -261,14 +260,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     shared = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     shared = materialise(shared.select("bucket", "hub"), "buckets")
     members = materialise(banded.join(shared, "bucket").select("bucket", "node", "hub"), "members")
-    involved = members.select("node").distinct()
-    texts = materialise(
-        docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).where("text is not null").join(involved, "node", "left_semi"),
-        "texts",
-    )
+    # Filters keep all other texts and registers from being shuffled.
+    involved = materialise(members.select("node").distinct(), "involved")
+    worded = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).where("text is not null")
+    likely, _ = split_by_keys(worded, "node", involved, "node")
+    texts = materialise(likely.join(involved, "node", "left_semi"), "texts")
+    sketched_nodes, _ = split_by_keys(nodes, "node", involved, "node")
 
     def confirmed(pairs: DataFrame, purpose: str) -> DataFrame:
-        return materialise(_confirmed(_likely(pairs, nodes, alike), texts), purpose)
+        return materialise(_confirmed(_likely(pairs, sketched_nodes, alike), texts), purpose)
 
     def apart_from_hub(labels: DataFrame) -> DataFrame:
         placed = _labelled(_labelled(members, labels, "node", "label"), labels, "hub", "hub_label")

@@ -105,3 +105,18 @@ def test_plausible(shared, wanted):
         ra, rb = near.registers(pool[:2000]), near.registers(pool[2000 - shared : 4000 - shared])
         n = np.array([2000.0])
         assert near.plausible(n, n, np.array([(ra > rb).sum()]), np.array([(ra < rb).sum()]), 0.75)[0] == wanted
+
+
+def test_only_texts_that_may_be_alike_are_shuffled(spark, monkeypatch):
+    rnd, kept = random.Random(8), []
+    words = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(300)]
+    rows = [(i, " ".join(w)) for i, w in enumerate([*words, words[7][:-1]])]
+    split = near.split_by_keys
+
+    def noted(*given):
+        kept.append(split(*given)[0].count())
+        return split(*given)
+
+    monkeypatch.setattr(near, "split_by_keys", noted)
+    same_as_plain(near.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+    assert len(kept) == 2 and max(kept) < 30, "texts, and registers"
